@@ -10,22 +10,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions import text_forms as tf
 
-# Field names of an order record, in wire order.
+# Field names of an order record, in wire order, and the types of its numbers.
 ORDER_FIELDS = ["orderId", "product", "quantity", "price"]
+ORDER_NUMBERS = {"orderId": "int", "quantity": "int", "price": "double"}
 
 BAD_REASON = "bad_reason"
 
 
-def _number(text: Column, kind: str) -> tuple[Column, Column]:
-    """Decoded number (missing or null is 0) and whether the text is unusable."""
-    if kind == "int":
-        number = text.try_cast("double").try_cast("int")
-    else:
-        number = text.try_cast("double")
-    zero = F.lit(0).cast(kind)
-    return F.coalesce(number, zero), text.isNotNull() & number.isNull()
-
-
 def decode_orders(df: DataFrame, strict: bool = True) -> DataFrame:
     """JSON value to ``orderId, product, quantity, price``.
 
@@ -34,22 +25,23 @@ def decode_orders(df: DataFrame, strict: bool = True) -> DataFrame:
     are truncated, numeric strings are accepted, missing numbers are 0.
     """
     parsed = df.withColumn("_fields", F.from_json("value", "map<string,string>"))
-    field = {name: F.try_element_at("_fields", F.lit(name)) for name in ORDER_FIELDS}
-    order_id, bad_id = _number(field["orderId"], "int")
-    quantity, bad_quantity = _number(field["quantity"], "int")
-    price, bad_price = _number(field["price"], "double")
-    known = F.array(*[F.lit(name) for name in ORDER_FIELDS])
-    unknown = F.size(F.array_except(F.map_keys("_fields"), known)) > 0
+    texts = {name: F.try_element_at("_fields", F.lit(name)) for name in ORDER_FIELDS}
+    numbers, unusable = {}, F.lit(False)
+    for name, kind in ORDER_NUMBERS.items():
+        number = texts[name].try_cast("double")
+        number = number.try_cast("int") if kind == "int" else number
+        unusable = unusable | (texts[name].isNotNull() & number.isNull())
+        numbers[name] = F.coalesce(number, F.lit(0).cast(kind))
+    known = [F.map_contains_key("_fields", name).cast("int") for name in ORDER_FIELDS]
     reason = F.when(F.col("_fields").isNull(), "not a JSON object")
     if strict:
+        unknown = F.size("_fields") > sum(known[1:], known[0])
         reason = reason.when(unknown, "unknown property")
-    reason = reason.when(bad_id | bad_quantity | bad_price, "bad number")
+    reason = reason.when(unusable, "bad number")
+    decoded = {**texts, **numbers}
     return parsed.select(
         *df.columns,
-        order_id.alias("orderId"),
-        field["product"].alias("product"),
-        quantity.alias("quantity"),
-        price.alias("price"),
+        *[decoded[name].alias(name) for name in ORDER_FIELDS],
         reason.alias(BAD_REASON),
     )
 

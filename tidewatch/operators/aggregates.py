@@ -10,9 +10,11 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 _KEYS_PER_TASK = 100_000
+_ROWS_AT_ONCE = 200_000
 
 
 def fold_partials(
@@ -24,20 +26,32 @@ def fold_partials(
 ) -> DataFrame:
     """Fold the rows of each input task per key: columns ``key`` and ``acc``; batch or stream.
 
-    ``add`` gets the accumulator and the rows of one key in one Arrow batch. A task that meets
-    many keys hands on what it has and starts again, so its memory is bounded.
+    ``add`` gets the accumulator and the next rows of one key. A task collects
+    ``_ROWS_AT_ONCE`` rows before it groups them, and a task that meets many keys hands on what
+    it has and starts again, so its memory is bounded.
     """
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         accs: dict[Any, Any] = {}
-        for frame in frames:
-            for value, rows in frame.groupby(key, sort=False):
-                accs[value] = add(accs[value] if value in accs else init(), rows)
+        for rows in in_blocks(frames):
+            for value, group in rows.groupby(key, sort=False):
+                accs[value] = add(accs[value] if value in accs else init(), group)
             if len(accs) > _KEYS_PER_TASK:
                 yield pd.DataFrame({key: list(accs.keys()), "acc": list(accs.values())})
                 accs = {}
         yield pd.DataFrame({key: list(accs.keys()), "acc": list(accs.values())})
 
+    def in_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, rows = [], 0
+        for frame in frames:
+            block.append(frame)
+            rows += len(frame)
+            if rows >= _ROWS_AT_ONCE:
+                yield pd.concat(block, ignore_index=True)
+                block, rows = [], 0
+        if block:
+            yield pd.concat(block, ignore_index=True)
+
     key_type = df.schema[key].dataType.simpleString()
     return df.mapInPandas(fold, f"`{key}` {key_type}, acc {acc_type}")
 
@@ -56,7 +70,7 @@ def custom_agg(
     Rows without a key are left out. A key reaches the merge with a few partials per input
     task however many rows it has.
     """
-    partials = fold_partials(df.filter(df[key].isNotNull()), key, init, add, acc_type)
+    partials = fold_partials(df.filter(F.col(key).isNotNull()), key, init, add, acc_type)
 
     def merged(group: pd.DataFrame) -> pd.DataFrame:
         accs = iter(group["acc"])
@@ -67,3 +81,44 @@ def custom_agg(
 
     key_type = df.schema[key].dataType.simpleString()
     return partials.groupBy(key).applyInPandas(merged, f"`{key}` {key_type}, `{result}` {acc_type}")
+
+
+def custom_agg_stream(
+    df: DataFrame,
+    key: str,
+    init: Callable[[], Any],
+    add: Callable[[Any, pd.DataFrame], Any],
+    merge: Callable[[Any, Any], Any],
+    acc_type: str,
+    result: str = "acc",
+) -> DataFrame:
+    """Running accumulator per key of a stream, for ``update`` mode.
+
+    The same fold before the shuffle; the state store keeps one accumulator per key, and every
+    micro-batch gives the new value of the keys it touched.
+    """
+    partials = fold_partials(df.filter(F.col(key).isNotNull()), key, init, add, acc_type)
+    # Column names that start with an underscore would be lost on the way to the processor.
+    partials = partials.select(F.col(key).alias("member"), "acc")
+
+    class Running(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.acc = handle.getValueState("acc", f"acc {acc_type}")
+
+        def handleInputRows(self, member, rows, timer_values) -> Iterator[pd.DataFrame]:
+            total = self.acc.get()[0] if self.acc.exists() else None
+            for frame in rows:
+                for acc in frame["acc"].tolist():
+                    total = acc if total is None else merge(total, acc)
+            self.acc.update((total,))
+            yield pd.DataFrame({"member": [member[0]], "acc": [total]})
+
+        def close(self) -> None:
+            pass
+
+    member_type = df.schema[key].dataType.simpleString()
+    schema = f"member {member_type}, acc {acc_type}"
+    running = partials.groupBy("member").transformWithStateInPandas(
+        Running(), schema, "Update", "None"
+    )
+    return running.select(F.col("member").alias(key), F.col("acc").alias(result))

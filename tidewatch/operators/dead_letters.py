@@ -2,37 +2,51 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.codecs import BAD_REASON
 
 
-def split_good_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+def observe_decoding(decoded: DataFrame, name: str | None = None) -> DataFrame:
+    """Count records and bad records on the way, without an extra pass.
+
+    The counts are in the progress of a streaming query and in ``Observation`` for a batch. The
+    observation is also where the plan stops pushing filters down: the decoding above the source
+    is evaluated once per record, not once more for each condition on a decoded column.
+    """
+    bad = F.count(F.when(F.col(BAD_REASON).isNotNull(), 1))
+    name = name or f"decoding-{uuid.uuid4().hex}"
+    return decoded.observe(name, F.count(F.lit(1)).alias("records"), bad.alias("bad"))
+
+
+def split_good_bad(decoded: DataFrame, name: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Good records without the reason, and bad ones as raw key, value and reason.
 
-    The bad side keeps the envelope only, so that column pruning drops the decoded fields.
+    Both are counted under ``name``. The bad side keeps the envelope only, so that column
+    pruning drops the decoded fields.
     """
-    good = decoded.filter(F.col(BAD_REASON).isNull()).drop(BAD_REASON)
-    bad = decoded.filter(F.col(BAD_REASON).isNotNull()).select(
+    observed = observe_decoding(decoded, name)
+    good = observed.filter(F.col(BAD_REASON).isNull()).drop(BAD_REASON)
+    bad = observed.filter(F.col(BAD_REASON).isNotNull()).select(
         "key", "value", F.col(BAD_REASON).alias("reason")
     )
     return good, bad
 
 
-def good_records(decoded: DataFrame, on_error: str = "dead_letter") -> DataFrame:
+def good_records(
+    decoded: DataFrame, on_error: str = "dead_letter", name: str | None = None
+) -> DataFrame:
     """Good records; with ``on_error="fail"`` the first bad one stops the query instead."""
     if on_error == "dead_letter":
-        return split_good_bad(decoded)[0]
+        return split_good_bad(decoded, name)[0]
     if on_error != "fail":
         raise ValueError("on_error is 'dead_letter' or 'fail'")
     complaint = F.concat(
         F.lit("undecodable record: "), BAD_REASON, F.lit(": "), F.coalesce("value", F.lit("null"))
     )
-    checked = F.when(F.col(BAD_REASON).isNull(), True).otherwise(F.raise_error(complaint).cast("boolean"))
-    return decoded.filter(checked).drop(BAD_REASON)
-
-
-def observe_decoding(decoded: DataFrame, name: str) -> DataFrame:
-    """Count records and bad records on the way, without an extra pass."""
-    bad = F.count(F.when(F.col(BAD_REASON).isNotNull(), 1))
-    return decoded.observe(name, F.count(F.lit(1)).alias("records"), bad.alias("bad"))
+    checked = F.when(F.col(BAD_REASON).isNull(), True).otherwise(
+        F.raise_error(complaint).cast("boolean")
+    )
+    return observe_decoding(decoded, name).filter(checked).drop(BAD_REASON)

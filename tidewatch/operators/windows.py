@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+NEWEST = "_newest"
+
 
 def tumbling_final(
     df: DataFrame,
@@ -26,16 +28,26 @@ def tumbling_final(
     rows = df
     for key in keys:
         rows = rows.filter(F.col(key).isNotNull())
+    windows = F.window(ts, size).alias("window")
     if df.isStreaming:
-        rows = rows.withWatermark(ts, grace)
-    result = rows.groupBy(F.window(ts, size).alias("window"), *keys).agg(*aggs)
-    return result if df.isStreaming else closed_only(result, rows, ts, grace)
+        return rows.withWatermark(ts, grace).groupBy(windows, *keys).agg(*aggs)
+    return closed_only(rows.groupBy(windows, *keys).agg(*aggs, F.max(ts).alias(NEWEST)), grace)
+
 
+def closed_only(windowed: DataFrame, grace: str = "0 seconds") -> DataFrame:
+    """Windows that are closed once all rows have been seen.
 
-def closed_only(windowed: DataFrame, rows: DataFrame, ts: str, grace: str) -> DataFrame:
-    """Windows that are closed once all ``rows`` have been seen. The newest time is a scalar."""
-    newest = rows.agg(F.max(ts) - F.expr(f"INTERVAL {grace}")).scalar()
-    return windowed.filter(F.col("window.end") <= newest)
+    ``windowed`` has a column ``_newest``, the newest time in each window and key. The newest of
+    all is a scalar over the same aggregate. It is taken together with the other columns, and
+    compared after the aggregate, so that both uses have one plan and the rows are read and
+    shuffled once.
+    """
+    others = [c for c in windowed.columns if c != NEWEST]
+    newest = windowed.agg(F.max(F.struct(NEWEST, *others)).alias("last")).select(
+        F.col(f"last.{NEWEST}") - F.expr(f"INTERVAL {grace}")
+    )
+    last_needed = F.greatest(F.col("window.end"), F.col(NEWEST))
+    return windowed.filter(last_needed <= newest.scalar()).drop(NEWEST)
 
 
 def above(windowed: DataFrame, measure: str, threshold: int) -> DataFrame:

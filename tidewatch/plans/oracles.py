@@ -139,6 +139,11 @@ def _labels(table: str, key: str) -> str:
     """
 
 
+_TOTAL_MINUTES = """
+    SELECT 'user-' || user_id AS "user", CAST(sum(1 + event_id % 10) AS BIGINT) AS total_minutes
+    FROM events GROUP BY 1
+"""
+
 _DOCUMENT_LABELS = _labels("documents", "CAST(doc_id AS VARCHAR)")
 
 ORACLE_SQL: dict[str, str] = {
@@ -218,7 +223,6 @@ ORACLE_SQL: dict[str, str] = {
         SELECT count(*) AS total_records, round(coalesce(sum(o_totalprice), 0), 2) AS total_value
         FROM orders WHERE o_orderkey > 100""",
     "high_mark": "SELECT coalesce(max(o_orderkey), 0) AS latest_id FROM orders",
-    "custom_agg": """
-        SELECT 'user-' || user_id AS "user", CAST(sum(1 + event_id % 10) AS BIGINT) AS total_minutes
-        FROM events GROUP BY 1""",
+    "custom_agg": _TOTAL_MINUTES,
+    "custom_agg_stream": _TOTAL_MINUTES,
 }

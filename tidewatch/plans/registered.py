@@ -16,7 +16,7 @@ from tidewatch.functions import codecs, text_forms as tf
 from tidewatch.operators import aggregates, boards, reports, scoring
 from tidewatch.operators.dead_letters import split_good_bad
 from tidewatch.operators.strict_late import strict_final, strict_flags, strict_partials
-from tidewatch.operators.windows import closed_only
+from tidewatch.operators.windows import NEWEST, closed_only
 from tidewatch.plans import patterns
 from tidewatch.scratch import fresh_dir
 from tidewatch.sources import tables
@@ -260,12 +260,14 @@ def user_minutes_strict_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         strict_flags(good, LATE_WINDOW)
         .filter("accepted")
         .groupBy("window", "user")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("minutes").alias("total_minutes"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("minutes").alias("total_minutes"),
+            F.max("timestamp").alias(NEWEST),
+        )
     )
-    # The newest record is never late, so the newest of all records is that of the accepted.
-    closed = closed_only(totals, _shifted_views(spark, sf_dir), "timestamp", "0 seconds")
     start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
-    return closed.select(start, "user", "n", "total_minutes")
+    return closed_only(totals).select(start, "user", "n", "total_minutes")
 
 
 # Boards
@@ -345,21 +347,35 @@ def high_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.high_mark(tables.table(spark, sf_dir, "orders"), "o_orderkey")
 
 
-def custom_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = split_good_bad(codecs.decode_views(_views(spark, sf_dir)))
+def _minutes_accumulator() -> dict:
+    """A user-supplied accumulator: the total of a column, from 0."""
 
     def add(total: int, rows: pd.DataFrame) -> int:
         return total + int(rows["minutes"].sum())
 
-    return aggregates.custom_agg(
-        good.select("user", "minutes"),
-        "user",
-        init=lambda: 0,
-        add=add,
-        merge=lambda left, right: left + right,
-        acc_type="bigint",
-        result="total_minutes",
-    )
+    return {
+        "init": lambda: 0,
+        "add": add,
+        "merge": lambda left, right: left + right,
+        "acc_type": "bigint",
+        "result": "total_minutes",
+    }
+
+
+def custom_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = split_good_bad(codecs.decode_views(_views(spark, sf_dir)))
+    return aggregates.custom_agg(good.select("user", "minutes"), "user", **_minutes_accumulator())
+
+
+def custom_agg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = split_good_bad(codecs.decode_views(_views(spark, sf_dir, stream=True)))
+    rows = good.select("user", "minutes")
+    running = aggregates.custom_agg_stream(rows, "user", **_minutes_accumulator())
+    path = fresh_dir(spark, "custom-agg-stream")
+    run_batches(running, "custom-agg-stream", sinks.batch_table(path), mode="update")
+    changes = sinks.read_batch_table(spark, path, running)
+    latest = F.max_by("total_minutes", "batch_id").alias("total_minutes")
+    return changes.groupBy("user").agg(latest)
 
 
 QUERIES: dict[str, Query] = {
@@ -405,4 +421,5 @@ QUERIES: dict[str, Query] = {
     "sink_report": sink_report,
     "high_mark": high_mark,
     "custom_agg": custom_agg,
+    "custom_agg_stream": custom_agg_stream,
 }
