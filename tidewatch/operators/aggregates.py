@@ -68,19 +68,29 @@ def custom_agg(
     """One accumulator per key: fold in each input task, shuffle the partials, merge them.
 
     Rows without a key are left out. A key reaches the merge with a few partials per input
-    task however many rows it has.
+    task however many rows it has. The partials arrive sorted by key, so that a task holds one
+    accumulator at a time.
     """
     partials = fold_partials(df.filter(F.col(key).isNotNull()), key, init, add, acc_type)
 
-    def merged(group: pd.DataFrame) -> pd.DataFrame:
-        accs = iter(group["acc"])
-        total = next(accs)
-        for acc in accs:
-            total = merge(total, acc)
-        return pd.DataFrame({key: [group[key].iloc[0]], result: [total]})
+    def merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        member, total = None, None
+        for frame in frames:
+            done: list[tuple[Any, Any]] = []
+            for value, acc in zip(frame[key].tolist(), frame["acc"].tolist()):
+                if value == member:
+                    total = merge(total, acc)
+                    continue
+                if member is not None:
+                    done.append((member, total))
+                member, total = value, acc
+            yield pd.DataFrame(done, columns=[key, result])
+        if member is not None:
+            yield pd.DataFrame([(member, total)], columns=[key, result])
 
     key_type = df.schema[key].dataType.simpleString()
-    return partials.groupBy(key).applyInPandas(merged, f"`{key}` {key_type}, `{result}` {acc_type}")
+    by_key = partials.repartition(key).sortWithinPartitions(key)
+    return by_key.mapInPandas(merged, f"`{key}` {key_type}, `{result}` {acc_type}")
 
 
 def custom_agg_stream(
