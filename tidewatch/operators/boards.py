@@ -27,9 +27,9 @@ def _ranking() -> list[Column]:
     return [F.col("score").desc(), F.col("member").desc()]
 
 
-def rank_desc(board: DataFrame) -> DataFrame:
+def rank_desc(board: DataFrame, path: str | None = None) -> DataFrame:
     """``position`` 1..n for every member of a board table, by the spread-out numbering."""
-    return number_rows(board, _ranking()).select("position", "member", "score")
+    return number_rows(board, _ranking(), path=path).select("position", "member", "score")
 
 
 def top_k(board: DataFrame, k: int) -> DataFrame:

@@ -18,6 +18,7 @@ def number_rows(
     name: str = "position",
     start: int = 1,
     per: list[str] | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Add ``name``: consecutive numbers in ``order``, restarting for each value of ``per``.
 
@@ -25,7 +26,8 @@ def number_rows(
     their partition and index. The range bounds are sampled, so they must not be computed twice;
     the written table fixes them and survives lost executors. A run is the rows of one ``per``
     value in one range, and only the run sizes (about one per range and ``per`` value) go
-    through a window. A hot ``per`` value spreads over many ranges.
+    through a window. A hot ``per`` value spreads over many ranges. ``path`` is where the table
+    goes, a fresh folder by default; give one to callers that number again and again.
     """
     per = per or []
     by = [*[F.col(c).asc() for c in per], *order]
@@ -35,6 +37,7 @@ def number_rows(
         .sortWithinPartitions(*by)
         .withColumn("_at", F.monotonically_increasing_id()),
         "numbered",
+        path,
     )
     ordered = ordered.withColumn("_range", F.shiftright("_at", _INDEX_BITS))
     runs = ordered.groupBy("_range", *per).agg(

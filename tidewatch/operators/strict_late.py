@@ -17,8 +17,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-CHUNK_ROWS = 100_000
-BUCKETS = 8
+CHUNK_ROWS = 500_000
+
+_BUCKET_ROWS = 1_000_000
+
+
+def buckets_for(rows_per_trigger: int) -> int:
+    """Buckets for ``strict_partials`` that hold at most a million partials each.
+
+    Each bucket also sees one row per chunk, so with these sizes the copies of the newest times
+    stay fewer than the records, up to about 10^12 records in one micro-batch.
+    """
+    return max(8, -(-rows_per_trigger // _BUCKET_ROWS))
 
 
 def _chunk(offset: str, chunk_rows: int) -> Column:
@@ -76,7 +86,7 @@ def strict_partials(
     partition: str = "partition",
     offset: str = "offset",
     chunk_rows: int = CHUNK_ROWS,
-    buckets: int = BUCKETS,
+    buckets: int = 8,
 ) -> DataFrame:
     """Stream form: partial aggregates of accepted rows, and counts of rejected ones.
 
@@ -87,7 +97,8 @@ def strict_partials(
 
     First each chunk is aggregated by window and key, after its own late rows are taken out.
     Then a stateful step, which keeps one number per source partition, applies the carry. It is
-    split into ``buckets`` by key; each bucket sees the newest time of every chunk.
+    split into ``buckets`` by key, see ``buckets_for``; each bucket sees the newest time of every
+    chunk and holds its partials of one micro-batch.
     """
     types = dict(df.dtypes)
     key_cols = {f"key{i}": k for i, k in enumerate(keys)}

@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.functions import codecs, text_forms as tf
 from tidewatch.operators import aggregates, boards, reports, scoring
 from tidewatch.operators.dead_letters import split_good_bad
-from tidewatch.operators.strict_late import strict_final, strict_flags, strict_partials
+from tidewatch.operators.strict_late import buckets_for, strict_final, strict_flags, strict_partials
 from tidewatch.operators.windows import NEWEST, closed_only
 from tidewatch.plans import patterns
 from tidewatch.scratch import fresh_dir
@@ -40,10 +40,9 @@ REPORT_SINCE = 100
 # Topics derived from the tables
 
 
-def _orders(spark: SparkSession, sf_dir: str, stream: bool = False, broken: bool = False) -> DataFrame:
-    lineitem = tables.table(spark, sf_dir, "lineitem", stream)
-    part = tables.table(spark, sf_dir, "part")
-    return tables.orders_topic(lineitem, part, tables.broken_order() if broken else None)
+def _orders(spark: SparkSession, sf_dir: str, value: Column | None = None) -> DataFrame:
+    product = tables.products(tables.table(spark, sf_dir, "part"))
+    return tables.orders_topic(tables.table(spark, sf_dir, "lineitem"), product, value)
 
 
 def _alerts(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
@@ -81,7 +80,7 @@ def order_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, bad = split_good_bad(codecs.decode_orders(_orders(spark, sf_dir, broken=True)))
+    _, bad = split_good_bad(codecs.decode_orders(_orders(spark, sf_dir, tables.broken_order())))
     return bad
 
 
@@ -135,7 +134,7 @@ def _rounded(summary: DataFrame) -> DataFrame:
 
 
 def order_window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = patterns.order_summary(_orders(spark, sf_dir, stream=True))
+    summary = patterns.order_summary(tables.orders_stream(spark, sf_dir))
     return _rounded(run_to_table(summary, "order-window-summary"))
 
 
@@ -145,7 +144,7 @@ def order_window_summary_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_summary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of the rows that a streaming summary has put into its table."""
-    summary = patterns.order_summary(_orders(spark, sf_dir, stream=True))
+    summary = patterns.order_summary(tables.orders_stream(spark, sf_dir))
     path = fresh_dir(spark, "order-summary-table")
     run_batches(summary, "order-summary-report", sinks.batch_table(path))
     stored = sinks.read_batch_table(spark, path, summary)
@@ -234,7 +233,12 @@ def _late_counts(decided: DataFrame, records) -> DataFrame:
 
 def _strict_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = split_good_bad(codecs.decode_views(_shifted_views(spark, sf_dir, stream=True)))
-    return strict_partials(good, LATE_WINDOW, ["user"], {"total_minutes": "minutes"})
+    # All files make one micro-batch, so that the given order of records does not depend on
+    # that of the files.
+    buckets = buckets_for(tables.table(spark, sf_dir, "events").count())
+    return strict_partials(
+        good, LATE_WINDOW, ["user"], {"total_minutes": "minutes"}, buckets=buckets
+    )
 
 
 def late_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,12 +29,12 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to a shared parquet table and read it back, which cuts the lineage.
 
     Unlike a cache, the copy survives the loss of any executor, and readers of a few columns
-    scan only those.
+    scan only those. With ``path`` an earlier copy there is replaced.
     """
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    path = path or fresh_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

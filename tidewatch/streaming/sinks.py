@@ -107,10 +107,13 @@ def report_board(
     report: Callable[[DataFrame, int], None],
     every: str | None = "5 seconds",
 ) -> StreamingQuery:
-    """Rank a streaming board at every trigger and hand the ranking, a batch, to ``report``."""
+    """Rank a streaming board at every trigger and hand the ranking, a batch, to ``report``.
+
+    The ranking is kept next to the checkpoint until the next trigger replaces it.
+    """
 
     def rank(board: DataFrame, batch_id: int) -> None:
-        report(rank_desc(board), batch_id)
+        report(rank_desc(board, f"{progress.checkpoint}-ranking"), batch_id)
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(rank)
     return progress.start(writer, totals.sparkSession, every)
