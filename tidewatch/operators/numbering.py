@@ -31,9 +31,8 @@ def number_rows(
     """
     per = per or []
     by = [*[F.col(c).asc() for c in per], *order]
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = written(
-        df.repartitionByRange(ranges, *by)
+        df.repartitionByRange(*by)
         .sortWithinPartitions(*by)
         .withColumn("_at", F.monotonically_increasing_id()),
         "numbered",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import urllib.request
 from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.ml import Transformer
 from pyspark.sql import Column, DataFrame, functions as F
 
 # The labels from worst to best, and the label of a failed call.
@@ -57,6 +59,32 @@ def lexicon_scorer(lexicon: dict[str, int]) -> Callable[[Column], Column]:
     return scorer
 
 
+def score_with_model(df: DataFrame, model: Transformer, label: str = "prediction") -> DataFrame:
+    """Label records with a fitted MLlib model that reads the column ``value``."""
+    return model.transform(df).select("key", F.col(label).cast("string").alias("label"))
+
+
+def http_client(
+    url: str, timeout_seconds: float = 10.0
+) -> Callable[[], Callable[[Sequence[str]], list[str]]]:
+    """``connect`` for a service that takes one text per POST and answers with the label."""
+
+    def connect() -> Callable[[Sequence[str]], list[str]]:
+        opener = urllib.request.build_opener()
+
+        def ask(text: str) -> str:
+            try:
+                request = urllib.request.Request(url, data=text.encode("utf-8"), method="POST")
+                with opener.open(request, timeout=timeout_seconds) as response:
+                    return response.read().decode("utf-8")
+            except Exception:
+                return ERROR
+
+        return lambda texts: [ask(text) for text in texts]
+
+    return connect
+
+
 def remote_score(
     df: DataFrame,
     connect: Callable[[], Callable[[Sequence[str]], Sequence[str]]],

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewatch.functions import codecs, text_forms as tf
 from tidewatch.operators import boards, scoring
 from tidewatch.operators.dead_letters import good_records
-from tidewatch.operators.windows import above, tumbling_final
+from tidewatch.operators.window_sums import WATERMARK, tumbling_sums
+from tidewatch.operators.windows import above
 
 # Window sizes, the level that is published and the high-volume threshold.
 ORDER_WINDOW = "5 seconds"
@@ -34,11 +35,12 @@ def order_summary(
     size: str = ORDER_WINDOW,
     grace: str = "0 seconds",
     on_error: str = "dead_letter",
+    late: str = WATERMARK,
 ) -> DataFrame:
     """Order value per product and window: ``interval_timestamp, product, total_value``."""
     good = good_records(codecs.decode_orders(orders), on_error)
-    value = F.sum(F.col("price") * F.col("quantity")).alias("total_value")
-    totals = tumbling_final(good, size, ["product"], [value], grace=grace)
+    value = F.col("price") * F.col("quantity")
+    totals = tumbling_sums(good, size, ["product"], {"total_value": value}, grace, late)
     start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
     return totals.select(start, "product", "total_value")
 
@@ -56,10 +58,11 @@ def high_volume_alerts(
     threshold: int = HIGH_VOLUME,
     grace: str = "0 seconds",
     on_error: str = "dead_letter",
+    late: str = WATERMARK,
 ) -> DataFrame:
     """Keyed records of the codes with more than ``threshold`` alerts in a final window."""
     good = good_records(codecs.decode_alerts(alerts), on_error)
-    counts = tumbling_final(good, size, ["code"], [F.count(F.lit(1)).alias("n")], grace=grace)
+    counts = tumbling_sums(good, size, ["code"], {}, grace, late)
     key, value = codecs.encode_window_count(F.col("window"), F.col("code"), F.col("n"))
     return above(counts, "n", threshold).select(key.alias("key"), value.alias("value"))
 
@@ -80,11 +83,12 @@ def user_minutes(
     size: str = VIEW_WINDOW,
     grace: str = "0 seconds",
     on_error: str = "dead_letter",
+    late: str = WATERMARK,
 ) -> DataFrame:
     """Minutes per user and window: ``interval_timestamp, user, total_minutes``."""
     good = good_records(codecs.decode_views(views), on_error)
-    minutes = F.sum("minutes").alias("total_minutes")
-    totals = tumbling_final(good, size, ["user"], [minutes], grace=grace)
+    minutes = {"total_minutes": F.col("minutes")}
+    totals = tumbling_sums(good, size, ["user"], minutes, grace, late)
     start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
     return totals.select(start, "user", "total_minutes")
 

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewatch.functions import codecs, text_forms as tf
 from tidewatch.operators import aggregates, boards, reports, scoring
 from tidewatch.operators.dead_letters import split_good_bad
-from tidewatch.operators.strict_late import buckets_for, strict_final, strict_flags, strict_partials
-from tidewatch.operators.windows import NEWEST, closed_only
+from tidewatch.operators.strict_late import buckets_for, strict_flags, strict_partials
+from tidewatch.operators.window_sums import STRICT, tumbling_sums
 from tidewatch.plans import patterns
 from tidewatch.scratch import fresh_dir
 from tidewatch.sources import tables
@@ -251,27 +251,21 @@ def late_rejects_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _late_counts(strict_flags(good, LATE_WINDOW), F.lit(1))
 
 
-def user_minutes_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    partials = _strict_partials(spark, sf_dir)
-    final = strict_final(partials, LATE_WINDOW, ["user"], ["total_minutes"])
+def _strict_minutes(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame:
+    good, _ = split_good_bad(codecs.decode_views(_shifted_views(spark, sf_dir, stream)))
+    buckets = buckets_for(tables.table(spark, sf_dir, "events").count()) if stream else 1
+    minutes = {"total_minutes": F.col("minutes")}
+    totals = tumbling_sums(good, LATE_WINDOW, ["user"], minutes, late=STRICT, buckets=buckets)
     start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
-    return run_to_table(final.select(start, "user", "n", "total_minutes"), "user-minutes-strict")
+    return totals.select(start, "user", "n", "total_minutes")
+
+
+def user_minutes_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_to_table(_strict_minutes(spark, sf_dir, stream=True), "user-minutes-strict")
 
 
 def user_minutes_strict_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = split_good_bad(codecs.decode_views(_shifted_views(spark, sf_dir)))
-    totals = (
-        strict_flags(good, LATE_WINDOW)
-        .filter("accepted")
-        .groupBy("window", "user")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("minutes").alias("total_minutes"),
-            F.max("timestamp").alias(NEWEST),
-        )
-    )
-    start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
-    return closed_only(totals).select(start, "user", "n", "total_minutes")
+    return _strict_minutes(spark, sf_dir, stream=False)
 
 
 # Boards

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewatch.scratch import fresh_dir
@@ -98,6 +98,17 @@ def run_batches(
     return finish(progress.start(writer, spark))
 
 
+def tap(df: DataFrame, name: str, *metrics: Column) -> DataFrame:
+    """Observe a stream or batch without changing it: the number of records, or ``metrics``."""
+    return df.observe(name, *(metrics or [F.count(F.lit(1)).alias("records")]))
+
+
+def observed(query: StreamingQuery, name: str) -> list[Row]:
+    """What a ``tap`` or the decoding has counted, per recent micro-batch."""
+    progress = [p["observedMetrics"] for p in query.recentProgress]
+    return [metrics[name] for metrics in progress if name in metrics]
+
+
 def describe(df: DataFrame) -> str:
     """The physical plan as text, before anything runs."""
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
