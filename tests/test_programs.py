@@ -78,7 +78,7 @@ def test_view_analytics(spark, named):
 def test_strict_rule_on_batch_and_stream(spark):
     def counts(df):
         value = {"v": F.col("value").cast("int")}
-        sums = tumbling_sums(df, "5 seconds", ["key"], value, late=STRICT)
+        sums = tumbling_sums(df, "5 seconds", ["key"], value, "n", late=STRICT)
         return sums.select(F.unix_seconds("window.start").alias("s"), "n", "v")
 
     expected = [(0, 1, 1), (20, 1, 1), (25, 1, 1)]
@@ -89,7 +89,7 @@ def test_strict_rule_on_batch_and_stream(spark):
 
 
 def test_update_mode_shows_results_before_they_are_final(spark):
-    stream = tumbling_sums(topic(spark, [[("k", "1", 1.0)], [("k", "1", 2.0)]]), "5 seconds", ["key"], {})
+    stream = tumbling_sums(topic(spark, [[("k", "1", 1.0)], [("k", "1", 2.0)]]), "5 seconds", ["key"], {}, "n")
     seen = []
     run_batches(stream, unique("changelog"), lambda df, i: seen.extend(df.collect()), "update")
     assert [r["n"] for r in seen] == [1, 2]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_points
@@ -69,12 +71,18 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 @pytest.mark.parametrize(
-    "name", ["user_minutes_1h_batch", "high_volume_alerts_1h_batch", "order_window_summary_batch"]
+    "name",
+    [
+        "user_minutes_1h_batch",
+        "high_volume_alerts_1h_batch",
+        "order_window_summary_batch",
+        "user_minutes_strict_batch",
+    ],
 )
 def test_closed_windows_shuffle_the_rows_once(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     df.collect()
-    assert "ReusedExchange" in describe(df)
+    assert re.search(r"ReusedExchange .*, Exchange hashpartitioning\(window", describe(df, "simple"))
 
 
 def test_records_are_decoded_once(spark):

@@ -18,12 +18,16 @@ def tumbling_sums(
     size: str,
     keys: Sequence[str],
     sums: Mapping[str, Column],
+    count: str | None = None,
     grace: str = "0 seconds",
     late: str = WATERMARK,
     buckets: int = 8,
     skew: str = "0 seconds",
 ) -> DataFrame:
-    """Final ``window``, keys, row count ``n`` and sums of an envelope; batch or stream.
+    """Final ``window``, keys, sums and row ``count`` of an envelope; batch or stream.
+
+    Ask only for what is used: on a batch, a result that is left unused later keeps Spark from
+    sharing the aggregate with the search for the newest time.
 
     ``late="watermark"`` is Spark's own rule: late rows are found per micro-batch, and a batch,
     which is complete, has none. ``late="strict"`` decides row by row within each source
@@ -33,7 +37,9 @@ def tumbling_sums(
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
     df = df.withColumns(dict(sums))
-    totals = [F.count(F.lit(1)).alias("n"), *[F.sum(name).alias(name) for name in sums]]
+    totals = [F.sum(name).alias(name) for name in sums]
+    if count:
+        totals.append(F.count(F.lit(1)).alias(count))
     if late == WATERMARK:
         return tumbling_final(df, size, keys, totals, grace=grace)
     if late != STRICT:
@@ -41,7 +47,8 @@ def tumbling_sums(
     if df.isStreaming:
         names = {name: name for name in sums}
         partials = strict_partials(df, size, list(keys), names, grace, buckets=buckets)
-        return strict_final(partials, size, list(keys), list(sums), grace, skew)
+        final = strict_final(partials, size, list(keys), list(sums), grace, skew)
+        return final.withColumnRenamed("n", count) if count else final.drop("n")
     accepted = strict_flags(df, size, grace).filter("accepted")
     totals.append(F.max("timestamp").alias(NEWEST))
     return closed_only(accepted.groupBy("window", *keys).agg(*totals), grace)

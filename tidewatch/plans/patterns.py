@@ -40,7 +40,7 @@ def order_summary(
     """Order value per product and window: ``interval_timestamp, product, total_value``."""
     good = good_records(codecs.decode_orders(orders), on_error)
     value = F.col("price") * F.col("quantity")
-    totals = tumbling_sums(good, size, ["product"], {"total_value": value}, grace, late)
+    totals = tumbling_sums(good, size, ["product"], {"total_value": value}, None, grace, late)
     start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
     return totals.select(start, "product", "total_value")
 
@@ -62,7 +62,7 @@ def high_volume_alerts(
 ) -> DataFrame:
     """Keyed records of the codes with more than ``threshold`` alerts in a final window."""
     good = good_records(codecs.decode_alerts(alerts), on_error)
-    counts = tumbling_sums(good, size, ["code"], {}, grace, late)
+    counts = tumbling_sums(good, size, ["code"], {}, "n", grace, late)
     key, value = codecs.encode_window_count(F.col("window"), F.col("code"), F.col("n"))
     return above(counts, "n", threshold).select(key.alias("key"), value.alias("value"))
 
@@ -88,7 +88,7 @@ def user_minutes(
     """Minutes per user and window: ``interval_timestamp, user, total_minutes``."""
     good = good_records(codecs.decode_views(views), on_error)
     minutes = {"total_minutes": F.col("minutes")}
-    totals = tumbling_sums(good, size, ["user"], minutes, grace, late)
+    totals = tumbling_sums(good, size, ["user"], minutes, None, grace, late)
     start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
     return totals.select(start, "user", "total_minutes")
 

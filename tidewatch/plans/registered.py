@@ -255,7 +255,9 @@ def _strict_minutes(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame
     good, _ = split_good_bad(codecs.decode_views(_shifted_views(spark, sf_dir, stream)))
     buckets = buckets_for(tables.table(spark, sf_dir, "events").count()) if stream else 1
     minutes = {"total_minutes": F.col("minutes")}
-    totals = tumbling_sums(good, LATE_WINDOW, ["user"], minutes, late=STRICT, buckets=buckets)
+    totals = tumbling_sums(
+        good, LATE_WINDOW, ["user"], minutes, "n", late=STRICT, buckets=buckets
+    )
     start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
     return totals.select(start, "user", "n", "total_minutes")
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
@@ -16,7 +17,7 @@ STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateSto
 _TIMEOUT_SECONDS = 6 * 3600
 
 
-@contextmanager
+@contextlib.contextmanager
 def _stream_settings(spark: SparkSession) -> Iterator[None]:
     """Settings a query takes over when it starts; the session gets its own back afterwards.
 
@@ -109,6 +110,9 @@ def observed(query: StreamingQuery, name: str) -> list[Row]:
     return [metrics[name] for metrics in progress if name in metrics]
 
 
-def describe(df: DataFrame) -> str:
-    """The physical plan as text, before anything runs."""
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+def describe(df: DataFrame, mode: str = "formatted") -> str:
+    """The plan as text, before anything runs; ``mode`` as for ``DataFrame.explain``."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain(mode)
+    return text.getvalue()
