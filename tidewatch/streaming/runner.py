@@ -14,7 +14,7 @@ from tidewatch.scratch import fresh_dir
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_TIMEOUT_SECONDS = 6 * 3600
+_TIMEOUT_SECONDS = 24 * 3600
 
 
 @contextlib.contextmanager
