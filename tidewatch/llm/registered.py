@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.llm.bpe import bpe_decode, bpe_encode
 from tidewatch.llm.near_duplicates import near_duplicates
 from tidewatch.llm.substrings import repeated_words
+from tidewatch.llm.token_counts import token_counts
+from tidewatch.llm.token_files import read_token_files, write_token_files
+from tidewatch.scratch import fresh_dir
 from tidewatch.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +26,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts(_documents(spark, sf_dir), vocabulary)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     plain = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
@@ -43,6 +53,28 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "token-files")
+    write_token_files(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return read_token_files(spark, path).select(
+        "doc_id",
+        "start",
+        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe_encode(_documents(spark, sf_dir), tokenizer).drop("text")
+    return bpe_decode(encoded, tokenizer).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 

@@ -6,9 +6,14 @@ UTF-8 at exactly those.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import xxhash
 
+_CHARACTERS = 8_000_000
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_2 = np.uint64(0x94D049BB133111EB)
@@ -67,3 +72,16 @@ def shingles_of(text: str | None, hashes: WordHashes, size: int = 5) -> np.ndarr
 def signed(x: np.ndarray) -> np.ndarray:
     """The same bits as Spark's bigint."""
     return x.view(np.int64)
+
+
+def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in batches of about ``_CHARACTERS``, in which more texts share their words."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += sum(len(text) for text in batch["text"] if text)
+        if size >= _CHARACTERS:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
