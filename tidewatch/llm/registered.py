@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.llm.bpe import bpe_decode, bpe_encode
 from tidewatch.llm.near_duplicates import near_duplicates
+from tidewatch.llm.quality import judged
 from tidewatch.llm.substrings import repeated_words
 from tidewatch.llm.token_counts import token_counts
 from tidewatch.llm.token_files import read_token_files, write_token_files
@@ -64,6 +65,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     encoded = bpe_encode(_documents(spark, sf_dir), tokenizer).drop("text")
