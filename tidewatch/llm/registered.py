@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.llm.bpe import bpe_decode, bpe_encode
+from tidewatch.llm.licenses import license_notices
 from tidewatch.llm.near_duplicates import near_duplicates
+from tidewatch.llm.pii import BASE, find_pii, is_base, spelt
 from tidewatch.llm.quality import judged
 from tidewatch.llm.substrings import repeated_words
 from tidewatch.llm.token_counts import token_counts
@@ -32,6 +34,22 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), vocabulary)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", is_base)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[count(kind.name).alias(f"n_{kind.name}") for kind in BASE],
+        F.sha2(spelt(base), 256).alias("base_sha256"),
+        spelt(F.col("pii")).alias("spans"),
+        F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",").alias("scores"),
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     plain = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
@@ -84,6 +102,10 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
