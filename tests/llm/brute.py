@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import defaultdict
 
 
@@ -69,3 +70,63 @@ def near_groups(rows: list[tuple], percent: int = 75) -> dict:
         for x in prefix:
             index[x].append(doc_id)
     return {doc_id: (len(s), root(doc_id)) for doc_id, s in sets.items()}
+
+
+def luhn(value: str) -> bool:
+    digits = [int(c) for c in value if c.isdigit()][::-1]
+    return sum(2 * d - 9 * (d > 4) if i % 2 else d for i, d in enumerate(digits)) % 10 == 0
+
+
+# The patterns of the base kinds as they are defined.
+BASE_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def base_spans(text: str | None) -> list[tuple]:
+    out = []
+    for kind, pattern in BASE_PATTERNS.items():
+        for match in re.finditer(pattern, text or ""):
+            value = match[0]
+            digits = sum(c.isdigit() for c in value)
+            good = {
+                "email": True,
+                "ip": kind == "ip" and all(int(part) <= 255 for part in value.split(".")),
+                "card": 16 <= digits <= 19 and luhn(value),
+                "phone": 8 <= digits <= 15,
+            }[kind]
+            if good:
+                out.append((kind, match.start(), match.end()))
+    return out
+
+
+def quality_counts(text: str | None) -> tuple:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    text = text or ""
+    words = word.findall(text)
+    places = defaultdict(list)
+    for i in range(len(words) - 7):
+        places[tuple(words[i : i + 8])].append(i)
+    covered = {j for at in places.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+    lines = [line for line in text.split("\n") if word.search(line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(covered),
+        len(words) < 20 or 100 * len(covered) > 30 * len(words),
+    )
+
+
+def contained(rows: list[tuple], items: list[tuple], percent: int = 75) -> set:
+    sets = [(i, shingles(t)) for i, t in items if t and len(t.encode().split()) >= 5]
+    out = set()
+    for doc_id, text in rows:
+        own = shingles(text)
+        out |= {(doc_id, i) for i, s in sets if 100 * len(s & own) >= percent * len(s)}
+    return out

@@ -23,7 +23,7 @@ MARKERS = {
 MARK = r"^\s*(?:#+\s*|\*\*|<\|)?([A-Za-z]+)(?:\*\*|\|>)?\s*[:>]\s*"
 _LENGTHS = [40, 120, 400]
 CHUNK = 1024
-_SMOOTH, _NEVER = 0.5, 1e-9
+_SMOOTH, _NEVER = 0.1, 1e-9
 OBSERVATIONS = (len(ROLES) + 1) * (len(_LENGTHS) + 1) * 2
 
 
@@ -75,7 +75,7 @@ def train(lines: DataFrame) -> dict[str, np.ndarray]:
     )
     last = known.select("conv_id", (F.col("position") + 1).alias("position"), F.col("state").alias("_last"))
     n = len(STATES)
-    first, moves, shown = np.full(n, _SMOOTH), np.full((n, n), _SMOOTH), np.full((n, OBSERVATIONS), _SMOOTH)
+    first, moves, shown = np.full(n, _SMOOTH), np.full((n, n), _SMOOTH), np.zeros((n, OBSERVATIONS))
     for row in known.groupBy("state", "observation").count().collect():
         shown[row["state"], row["observation"]] += row["count"]
     for row in known.join(last, ["conv_id", "position"]).groupBy("_last", "state").count().collect():
@@ -87,10 +87,15 @@ def train(lines: DataFrame) -> dict[str, np.ndarray]:
         if not opens:
             first[b] = _NEVER
             moves[[a for a, (before, _) in enumerate(STATES) if before != role], b] = _NEVER
+    # Marker, length and question mark are taken as independent, so rare states are smoothed little.
+    cells = shown.reshape(n, len(ROLES) + 1, len(_LENGTHS) + 1, 2)
+    parts = [cells.sum(axis=others) + _SMOOTH for others in ((2, 3), (1, 3), (1, 2))]
+    marks, sizes, asks = (np.log(x / x.sum(axis=1, keepdims=True)) for x in parts)
+    emitted = marks[:, :, None, None] + sizes[:, None, :, None] + asks[:, None, None, :]
     return {
         "first": np.log(first / first.sum()),
         "moves": np.log(moves / moves.sum(axis=1, keepdims=True)),
-        "shown": np.log(shown / shown.sum(axis=1, keepdims=True)),
+        "shown": emitted.reshape(n, OBSERVATIONS),
     }
 
 
@@ -127,7 +132,7 @@ def _borders(long: DataFrame, model: dict) -> DataFrame:
     up as a table of states by states, and a conversation's tables, one for ``CHUNK`` lines, are
     combined from the left and from the right."""
 
-    def through(key, chunk: pd.DataFrame) -> pd.DataFrame:
+    def through(key: tuple, chunk: pd.DataFrame) -> pd.DataFrame:
         seen = chunk.sort_values("position")["observation"].to_numpy()
         if key[1] == 0:
             table = _through(seen[1:], model) + (model["first"] + model["shown"][:, seen[0]])[:, None]
@@ -135,7 +140,7 @@ def _borders(long: DataFrame, model: dict) -> DataFrame:
             table = _through(seen, model)
         return pd.DataFrame({"conv_id": [key[0]], "chunk": [key[1]], "table": [table.ravel()]})
 
-    def across(key, chunks: pd.DataFrame) -> pd.DataFrame:
+    def across(key: tuple, chunks: pd.DataFrame) -> pd.DataFrame:
         chunks = chunks.sort_values("chunk")
         n = len(STATES)
         tables = [np.asarray(t).reshape(n, n) for t in chunks["table"]]
