@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.words import WordHashes, mixed, signed, windows_of, words_of
+from tidewatch.llm.words import mixed, signed, windows_of, word_hashes
 from tidewatch.scratch import written
 
 # A pair that should be found shares no key less often than this.
@@ -49,10 +49,9 @@ def _keys(shingles: np.ndarray, item_class: int, doc_class: int, percent: int) -
 
 def _item_sets(items: DataFrame, words: int) -> DataFrame:
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             sets = [
-                np.unique(windows_of(hashes.of(words_of(text, lower=True)), words)) for text in batch["text"]
+                np.unique(windows_of(word_hashes(text, lower=True), words)) for text in batch["text"]
             ]
             out = pd.DataFrame({"item_id": batch["item_id"], "shingles": [signed(s) for s in sets]})
             yield out[out["shingles"].map(len) > 0]
@@ -80,11 +79,11 @@ def _doc_sets(docs: DataFrame, table: np.ndarray, words: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, bits = WordHashes(), shared.value
+        bits = shared.value
         for batch in batches:
             rows = []
             for doc_id, copy, text in zip(batch["doc_id"], batch["copy"], batch["text"]):
-                found = windows_of(hashes.of(words_of(text, lower=True)), words)
+                found = windows_of(word_hashes(text, lower=True), words)
                 at = found >> np.uint64(64 - _FILTER_BITS)
                 passed = bits[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32) & 1
                 found = np.unique(found[passed == 1])

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm.components import components
-from tidewatch.llm.words import WordHashes, mixed, shingles_of, signed
+from tidewatch.llm.words import mixed, shingles_of, signed
 from tidewatch.scratch import written
 
 # 50 bands of 5: a pair of similarity 0.75 shares no band once in 760,000, a pair of 0.1 shares
@@ -63,11 +63,10 @@ def sketches(docs: DataFrame, words: int = 5, bands: int = BANDS, rows: int = RO
     bands and no sketch."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             found = []
             for text in batch["text"]:
-                shingles = shingles_of(text, hashes, words)
+                shingles = shingles_of(text, words)
                 if not len(shingles):
                     found.append((0, 0, 0, None, None))
                     continue
@@ -107,14 +106,13 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     """The rows of ``pairs`` (a, b) whose whole shingle sets are similar enough."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         last, left = None, None
         for batch in batches:
             keep = []
             for a, b in zip(batch["text_a"], batch["text_b"]):
                 if a != last:
-                    last, left = a, shingles_of(a, hashes, words)
-                right = shingles_of(b, hashes, words)
+                    last, left = a, shingles_of(a, words)
+                right = shingles_of(b, words)
                 both = len(np.intersect1d(left, right, assume_unique=True))
                 keep.append(100 * both >= percent * (len(left) + len(right) - both))
             yield batch.loc[np.array(keep, bool), ["a", "b"]]

@@ -14,10 +14,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.words import WordHashes, signed, windows_of, words_of
+from tidewatch.llm.words import signed, windows_of, word_hashes, words_of
 from tidewatch.scratch import written
 
 SPAN = 20
@@ -99,14 +98,25 @@ class SuffixAutomaton:
                 yield end, self.first[state]
 
 
+def _leftmost_minima(values: np.ndarray, size: int) -> np.ndarray:
+    """Where the smallest of each ``size`` consecutive values stands, from those of windows of 1, 2,
+    4, ... values."""
+    at, width = np.arange(len(values)), 1
+    while width < size:
+        step = min(width, size - width)
+        left, right = at[:-step], at[step:]
+        at = np.where(values[right] < values[left], right, left)
+        width += step
+    return at
+
+
 def pieces_of(ids: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor hash, first window and number of windows of each piece of a document."""
     if len(ids) < span:
         none = np.empty(0, np.int64)
         return np.empty(0, np.uint64), none, none
     grams = windows_of(ids, gram)
-    inside = sliding_window_view(grams, span - gram + 1)
-    at = inside.argmin(axis=1) + np.arange(len(inside))
+    at = _leftmost_minima(grams, span - gram + 1)
     starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     return grams[at[starts]], starts, np.diff(np.r_[starts, len(at)])
 
@@ -116,33 +126,30 @@ def _anchors(docs: DataFrame, span: int, gram: int) -> DataFrame:
     for more)."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
-            columns = {"doc_id": [], "copy": [], "anchor": [], "times": []}
-            for doc_id, copy, text in zip(batch["doc_id"], batch["copy"], batch["text"]):
-                found, _, _ = pieces_of(hashes.of(words_of(text)), span, gram)
+            columns = {"doc_id": [], "anchor": [], "times": []}
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                found, _, _ = pieces_of(word_hashes(text), span, gram)
                 found, times = np.unique(found, return_counts=True)
                 columns["doc_id"].append(np.full(len(found), doc_id))
-                columns["copy"].append(np.full(len(found), copy))
                 columns["anchor"].append(signed(found))
                 columns["times"].append(np.minimum(times, 2))
             if len(batch):
                 yield pd.DataFrame({name: np.concatenate(parts) for name, parts in columns.items()})
 
-    return docs.mapInPandas(each, "doc_id bigint, copy bigint, anchor bigint, times bigint")
+    return docs.mapInPandas(each, "doc_id bigint, anchor bigint, times bigint")
 
 
 def _pieces(docs: DataFrame, span: int, gram: int) -> DataFrame:
     """The pieces of documents whose anchor is in ``repeated``; ``name`` is a hash of the words."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             rows = []
             columns = [batch[c] for c in ("doc_id", "copy", "text", "repeated")]
             for doc_id, copy, text, repeated in zip(*columns):
                 words = words_of(text)
-                found, starts, windows = pieces_of(hashes.of(words), span, gram)
+                found, starts, windows = pieces_of(word_hashes(text), span, gram)
                 found = signed(found)
                 chosen = np.isin(found, np.asarray(repeated, np.int64))
                 for anchor, start, n in zip(
@@ -258,9 +265,9 @@ def repeated_words(
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     anchors = _anchors(docs, span, gram)
     repeated = anchors.groupBy("anchor").agg(F.sum("times").alias("_n")).where("_n > 1")
-    lists = anchors.select(*key, "anchor").join(repeated.select("anchor"), "anchor")
-    lists = lists.groupBy(*key).agg(F.collect_set("anchor").alias("repeated"))
-    marked = written(docs.join(lists, key).dropDuplicates(key), "marked")
+    lists = anchors.select("doc_id", "anchor").join(repeated.select("anchor"), "anchor")
+    lists = lists.groupBy("doc_id").agg(F.collect_set("anchor").alias("repeated"))
+    marked = written(docs.join(lists, "doc_id").dropDuplicates(key), "marked")
 
     pieces = _pieces(marked, span, gram)
     passages = written(_distinct(pieces), "passages")
