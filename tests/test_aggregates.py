@@ -72,3 +72,9 @@ def test_live_report_counts_what_was_added_since(spark):
         lambda row: seen.append(tuple(row)), every_seconds=0.01, reports=2,
     )
     assert seen == [(1, 7.0), (2, 8.0)]
+
+
+def test_nan_is_a_key(spark):
+    rows = spark.createDataFrame([(float("nan"), 1), (2.0, 5), (float("nan"), 2)], "k double, v bigint")
+    summed = aggregates.custom_agg(rows, "k", lambda: 0, lambda a, g: a + int(g["v"].sum()), lambda a, b: a + b, "bigint")
+    assert sorted((str(r["k"]), r["acc"]) for r in summed.collect()) == [("2.0", 5), ("nan", 3)]

@@ -42,8 +42,6 @@ def test_lexicon_labels(spark, text, label):
 def test_lexicon_is_checked():
     with pytest.raises(ValueError):
         scoring.lexicon_scorer({"Not a word": 1})
-    with pytest.raises(ValueError):
-        scoring.lexicon_scorer({"w" + "x" * i: 1 for i in range(2000)})
 
 
 def test_a_failed_call_spoils_only_its_own_text(spark):
@@ -74,3 +72,24 @@ def test_pandas_udf_as_scorer(spark):
 
     df = records(spark, [("k", "four", 1.0)])
     assert rows_of(scoring.score_stream(df, by_length)) == [("k", "4")]
+
+
+def test_a_refused_connection_labels_error_and_order_is_kept(spark):
+    def refused():
+        raise ConnectionRefusedError("no service")
+
+    texts = spark.createDataFrame([(str(i), f"t{i}" if i % 7 else None) for i in range(50)], "key string, value string")
+    assert {r["label"] for r in scoring.remote_score(texts, refused).collect()} == {"Error"}
+
+    def echo():
+        return lambda batch: [text.upper() for text in batch]
+
+    got = {r["key"]: r["label"] for r in scoring.remote_score(texts, echo, batch_size=3).collect()}
+    assert got == {str(i): f"T{i}" if i % 7 else "Error" for i in range(50)}
+
+
+def test_a_lexicon_may_be_large(spark):
+    words = {"".join(chr(97 + i // 26**k % 26) for k in range(3)): 1 for i in range(3000)}
+    texts = spark.createDataFrame([("a", "aaa, baa caa. zzz aaa-baa!"), ("b", "zzz")], "key string, value string")
+    got = {r["key"]: r["label"] for r in scoring.score_stream(texts, scoring.lexicon_scorer(words)).collect()}
+    assert got == {"a": "Very Positive", "b": "Neutral"}

@@ -85,3 +85,10 @@ def test_doubles_and_no_keys(spark):
     stream = stream.withColumn("v", F.col("value").cast("double"))
     final = strict_final(strict_partials(stream, "5 seconds", [], {"v": "v"}), "5 seconds", [], ["v"])
     assert rows_of(run_to_table(final.select("n", "v"), "strict-doubles")) == [(2, 3.75)]
+
+
+def test_records_without_offset_are_an_error(spark):
+    df = spark.createDataFrame([(0, None, 1)], "partition int, offset bigint, s int")
+    df = df.withColumn("timestamp", F.timestamp_seconds("s"))
+    with pytest.raises(Exception, match="needs a partition and an offset"):
+        strict_flags(df, "5 seconds").collect()

@@ -17,6 +17,18 @@ _KEYS_PER_TASK = 100_000
 _ROWS_AT_ONCE = 200_000
 
 
+# One object, so that a dict finds it again; NaN is a key like any other.
+_NAN = float("nan")
+
+
+def _with_nan(df: DataFrame, key: str) -> DataFrame:
+    """Pandas hands NaN over as NULL; rows without a key are left out before, so it was NaN."""
+    kind = df.schema[key].dataType.simpleString()
+    if kind not in ("double", "float"):
+        return df
+    return df.withColumn(key, F.coalesce(F.col(f"`{key}`"), F.lit(float("nan")).cast(kind)))
+
+
 def fold_partials(
     df: DataFrame,
     key: str,
@@ -34,7 +46,8 @@ def fold_partials(
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         accs: dict[Any, Any] = {}
         for rows in in_blocks(frames):
-            for value, group in rows.groupby(key, sort=False):
+            for value, group in rows.groupby(key, sort=False, dropna=False):
+                value = _NAN if value != value else value
                 accs[value] = add(accs[value] if value in accs else init(), group)
             if len(accs) > _KEYS_PER_TASK:
                 yield pd.DataFrame({key: list(accs.keys()), "acc": list(accs.values())})
@@ -53,7 +66,7 @@ def fold_partials(
             yield pd.concat(block, ignore_index=True)
 
     key_type = df.schema[key].dataType.simpleString()
-    return df.mapInPandas(fold, f"`{key}` {key_type}, acc {acc_type}")
+    return _with_nan(df.mapInPandas(fold, f"`{key}` {key_type}, acc {acc_type}"), key)
 
 
 def custom_agg(
@@ -78,7 +91,7 @@ def custom_agg(
         for frame in frames:
             done: list[tuple[Any, Any]] = []
             for value, acc in zip(frame[key].tolist(), frame["acc"].tolist()):
-                if value == member:
+                if value == member or (value != value and member != member):
                     total = merge(total, acc)
                     continue
                 if member is not None:
@@ -90,7 +103,7 @@ def custom_agg(
 
     key_type = df.schema[key].dataType.simpleString()
     by_key = partials.repartition(key).sortWithinPartitions(key)
-    return by_key.mapInPandas(merged, f"`{key}` {key_type}, `{result}` {acc_type}")
+    return _with_nan(by_key.mapInPandas(merged, f"`{key}` {key_type}, `{result}` {acc_type}"), key)
 
 
 def custom_agg_stream(

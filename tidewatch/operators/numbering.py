@@ -9,8 +9,6 @@ from tidewatch.scratch import written
 # Fixed value: monotonically_increasing_id keeps the row index within a partition in 33 bits.
 _INDEX_BITS = 33
 
-_BROADCAST_RUNS = 100_000
-
 
 def number_rows(
     df: DataFrame,
@@ -49,8 +47,8 @@ def number_rows(
         "_first",
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
     )
-    # Without `per` there is one run per range; with it the number is looked up.
-    if not per or runs.count() <= _BROADCAST_RUNS:
+    # Without `per` there is one run per range; with it Spark chooses by size.
+    if not per:
         offsets = F.broadcast(offsets)
     same_run = F.col("_range") == F.col("_run_range")
     for c in per:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import urllib.request
-from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.ml import Transformer
@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 LABELS = ["Very Negative", "Negative", "Neutral", "Positive", "Very Positive"]
 ERROR = "Error"
 
-_MAX_LEXICON = 1_000
-
 
 def score_stream(df: DataFrame, scorer: Callable[[Column], Column]) -> DataFrame:
     """Label every record and keep its key; batch or stream, no shuffle.
@@ -35,23 +33,20 @@ def lexicon_scorer(lexicon: dict[str, int]) -> Callable[[Column], Column]:
     """Scorer that adds up word weights (lower-case a-z words) in the last sentence.
 
     The sum -2, -1, 0, 1, 2 (clamped) picks the label. Text without a sentence is neutral and a
-    NULL text is an error. The words become one pattern per weight inside the plan, hence the
-    limit on their number; a larger model belongs in ``remote_score`` or a pandas UDF.
+    NULL text is an error. The words of a sentence are looked up in one map, whatever the number
+    of words in the lexicon.
     """
-    if len(lexicon) > _MAX_LEXICON:
-        raise ValueError(f"a lexicon has at most {_MAX_LEXICON} words")
-    by_weight: dict[int, list[str]] = defaultdict(list)
-    for word, weight in lexicon.items():
+    for word in lexicon:
         if not (word.isascii() and word.isalpha() and word.islower()):
             raise ValueError(f"not a lower-case a-z word: {word!r}")
-        by_weight[weight].append(word)
 
     def scorer(text: Column) -> Column:
         sentence = F.lower(last_sentence(text))
-        total = F.lit(0)
-        for weight, words in by_weight.items():
-            pattern = rf"(?<![a-z])(?:{'|'.join(words)})(?![a-z])"
-            total = total + F.lit(weight) * F.regexp_count(sentence, F.lit(pattern))
+        weights = F.create_map(*[F.lit(x) for pair in lexicon.items() for x in pair])
+        words = F.regexp_extract_all(sentence, F.lit("[a-z]+"), F.lit(0))
+        total = F.aggregate(
+            words, F.lit(0), lambda a, w: a + F.coalesce(F.try_element_at(weights, w), F.lit(0))
+        )
         clamped = F.greatest(F.lit(-2), F.least(F.lit(2), F.coalesce(total, F.lit(0))))
         labels = F.array(*[F.lit(label) for label in LABELS])
         return F.when(text.isNull(), ERROR).otherwise(F.element_at(labels, clamped + F.lit(3)))
@@ -89,12 +84,14 @@ def remote_score(
     df: DataFrame,
     connect: Callable[[], Callable[[Sequence[str]], Sequence[str]]],
     batch_size: int = 256,
+    calls_at_once: int = 4,
 ) -> DataFrame:
-    """Label records through a service: one client per task, ``batch_size`` texts per call.
+    """Label records through a service: one client per task, ``batch_size`` texts per call and up
+    to ``calls_at_once`` calls at a time, so the client must allow that. Rows keep their order.
 
     ``connect`` runs on the executor and returns a function from texts to labels. When a call
     for a batch fails its texts are tried one by one, and those that fail alone, like missing
-    texts, are labelled ``Error``.
+    texts, are labelled ``Error``; so are all texts of a task that cannot connect.
     """
 
     def call(client, texts: list[str]) -> list[str]:
@@ -109,13 +106,20 @@ def remote_score(
             return [call(client, [text])[0] for text in texts]
 
     def label(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = connect()
-        for frame in frames:
-            present = frame["value"].dropna()
-            labels: list[str] = []
-            for at in range(0, len(present), batch_size):
-                labels.extend(call(client, present.iloc[at : at + batch_size].tolist()))
-            scored = pd.Series(labels, index=present.index, dtype=object)
-            yield pd.DataFrame({"key": frame["key"], "label": scored.reindex(frame.index, fill_value=ERROR)})
+        try:
+            client = connect()
+        except Exception:
+            client = None
+        with ThreadPoolExecutor(calls_at_once) as pool:
+            for frame in frames:
+                present = frame["value"].dropna()
+                batches = [present.iloc[i : i + batch_size].tolist() for i in range(0, len(present), batch_size)]
+                if client is None:
+                    done = [[ERROR] * len(batch) for batch in batches]
+                else:
+                    done = pool.map(lambda batch: call(client, batch), batches)
+                labels = [label for batch in done for label in batch]
+                scored = pd.Series(labels, index=present.index, dtype=object)
+                yield pd.DataFrame({"key": frame["key"], "label": scored.reindex(frame.index, fill_value=ERROR)})
 
     return df.select("key", "value").mapInPandas(label, "key string, label string")

@@ -31,8 +31,11 @@ def buckets_for(rows_per_trigger: int) -> int:
     return max(8, -(-rows_per_trigger // _BUCKET_ROWS))
 
 
-def _chunk(offset: str, chunk_rows: int) -> Column:
-    return F.expr(f"`{offset}` div {chunk_rows}")
+def _chunk(partition: str, offset: str, chunk_rows: int) -> Column:
+    """The chunk of a row; the rule is defined by offsets, so a row without one is an error."""
+    placed = F.col(partition).isNotNull() & F.col(offset).isNotNull()
+    unplaced = F.raise_error(F.lit("the strict rule needs a partition and an offset for each record"))
+    return F.when(placed, F.expr(f"`{offset}` div {chunk_rows}")).otherwise(unplaced.cast("bigint"))
 
 
 def strict_flags(
@@ -49,7 +52,7 @@ def strict_flags(
     The rows are shuffled once, by (partition, chunk), for the running maximum, and meet the
     carries on the same partitioning. The window over carries sees one row per chunk.
     """
-    rows = df.withColumn("_chunk", _chunk(offset, chunk_rows))
+    rows = df.withColumn("_chunk", _chunk(partition, offset, chunk_rows))
     so_far = (
         Window.partitionBy(partition, "_chunk")
         .orderBy(offset)
@@ -163,7 +166,7 @@ def strict_partials(
 
     rows = df.select(
         F.col(partition).cast("bigint").alias("part"),
-        _chunk(offset, chunk_rows).alias("chunk"),
+        _chunk(partition, offset, chunk_rows).alias("chunk"),
         F.col(offset).alias("at"),
         F.unix_micros(ts).alias("t"),
         F.unix_micros(F.window(ts, size)["end"] + F.expr(f"INTERVAL {grace}")).alias("expiry"),

@@ -14,21 +14,15 @@ from tidewatch.scratch import fresh_dir
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_TIMEOUT_SECONDS = 24 * 3600
-
 
 @contextlib.contextmanager
 def _stream_settings(spark: SparkSession) -> Iterator[None]:
     """Settings a query takes over when it starts; the session gets its own back afterwards.
 
-    State lives in RocksDB, off the heap and on disk. The number of state partitions is fixed
-    for the life of a checkpoint: it is the configured number of shuffle partitions, or the
-    number of cores where nobody configured one.
+    State lives in RocksDB, off the heap and on disk. The number of state partitions is the
+    session's number of shuffle partitions when a checkpoint is first used.
     """
     settings = {"spark.sql.streaming.stateStore.providerClass": STATE_PROVIDER}
-    if not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
-        if spark.conf.get("spark.sql.shuffle.partitions") == "200":
-            settings["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
@@ -62,10 +56,12 @@ class NamedQuery:
             return writer.trigger(**trigger).start()
 
 
-def finish(query: StreamingQuery, timeout_seconds: float = _TIMEOUT_SECONDS) -> StreamingQuery:
-    """Wait for a query and stop it; raises its error, or if it did not end in time."""
+def finish(query: StreamingQuery, timeout_seconds: float | None = None) -> StreamingQuery:
+    """Wait for a query and stop it; raises its error, or if it did not end within a given time."""
     try:
-        if not query.awaitTermination(timeout_seconds):
+        if timeout_seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout_seconds):
             raise TimeoutError(f"query {query.name} did not end within {timeout_seconds} s")
         return query
     finally:
