@@ -19,7 +19,7 @@ from tidewatch.llm.decontamination import contained_items
 from tidewatch.llm.licenses import license_notices
 from tidewatch.llm.near_duplicates import near_duplicates, sketch_of, without_near_duplicates
 from tidewatch.llm.pii import find_pii, spelt, without_pii
-from tidewatch.llm.quality import judged
+from tidewatch.llm.quality import COMMON_WORDS, MIN_WORDS, judged
 from tidewatch.llm.substrings import repeated_words
 from tidewatch.llm.token_counts import COST_UNIT, piece_costs, token_counts
 from tidewatch.llm.token_files import ByteLevelEncoder, Code, code_lengths, pack, read_token_files, unpack, write_token_files
@@ -223,6 +223,26 @@ def test_quality_keeps_good_and_rejects_bad_documents(spark):
     assert kept.get((1, False), 0) == 0 and kept[0, False] > kept.get((0, True), 0) / 2
 
 
+def test_quality_rejects_word_lists_from_about_min_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    lists = []
+    for lang, common in COMMON_WORDS.items():
+        words = [w for r in docs.where(F.col("lang") == lang).orderBy("doc_id").limit(20).collect() for w in r["text"].split()]
+        words = [w for w in words if w.isalpha() and w not in common]
+        lists += [(-len(lists) - i, lang, " ".join(words[:n])) for i, n in enumerate((80, 120, 250), 1)]
+    both = docs.union(spark.createDataFrame(lists, docs.schema))
+    got = {r["doc_id"]: r for r in judged(both).where("doc_id < 0").collect()}
+    assert len(got) == 12 and not any(r["kept"] or r["base_failed"] for r in got.values())
+
+
+def test_quality_recall_on_labelled_rows(spark):
+    verdicts = registered.op6_quality_rules(spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = verdicts.join(labels, "doc_id").where(f"NOT base_failed AND n_words >= {MIN_WORDS}")
+    kept = {(r["quality"], r["kept"]): r["count"] for r in rows.groupBy("quality", "kept").count().collect()}
+    assert kept.get((1, False), 0) == 0 and kept[0, False] > 19 * kept.get((0, True), 0)
+
+
 def test_bpe(spark, rows, odd, empty):
     tokenizer, got = Tokenizer.from_file(WORD), run(spark, "op7_")
     for doc_id, text in rows:
