@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm import brute
-from tidewatch.llm import registered
+from tidewatch.llm import near_duplicates as near_duplicates_module, registered
 from tidewatch.llm.bpe import WordEncoder, bpe_decode, bpe_encode
 from tidewatch.llm.decontamination import contained_items
 from tidewatch.llm.licenses import license_notices
@@ -320,6 +320,24 @@ def test_sketches_estimate_similarity():
         assert (sketch_of(a, 250) < np.iinfo(np.uint64).max).all()
 
 
+def test_sketches_do_not_depend_on_the_rounds_of_a_block(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in range(1, 21) for _ in range(5)]
+    blocks = [sketch_of(a, 250) for a in sets]
+    monkeypatch.setattr(near_duplicates_module, "_DRAWS", 1)
+    assert all((sketch_of(a, 250) == block).all() for a, block in zip(sets, blocks))
+
+
+def test_sketches_of_small_sets_of_different_sizes_agree_as_they_should():
+    rng = np.random.default_rng(6)
+    for n, m in ((6, 8), (5, 6), (9, 12), (15, 20)):
+        equal = []
+        for _ in range(500):
+            a = rng.integers(0, 1 << 63, m).astype(np.uint64)
+            equal.append((sketch_of(a[:n], 250) == sketch_of(a, 250)).mean())
+        assert abs(np.mean(equal) - n / m) < 0.01
+
+
 def test_licenses(spark, odd, empty):
     docs = [(1, "Intro\nReleased under the MIT License.\nend"), (2, "Licensed under CC BY-NC 4.0."), (3, "the licence of a driver"), (4, None), (4, None)]
     docs += [(5, "Licensed under the Apache License, Version 2.0. Ask us."), (6, "")]

@@ -36,13 +36,15 @@ def sketch_of(shingles: np.ndarray, size: int) -> np.ndarray:
     """
     sketch = np.full(size, _EMPTY)
     first, step = 0, max(1, min(2 * size, _DRAWS // len(shingles)))
+    # The round takes the highest bits, as many as the last one needs.
+    bits = np.uint64((2 * size - 1).bit_length())
     while first < 2 * size and (sketch == _EMPTY).any():
         rounds = np.arange(first, min(first + step, 2 * size), dtype=np.uint64)
         drawn = mixed(shingles[None, :] + (rounds * _ROUND)[:, None])
         bins = ((drawn >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)
         late = rounds >= size
         bins[late] = (rounds[late] - np.uint64(size))[:, None]
-        values = (rounds << np.uint64(56))[:, None] | (mixed(drawn) >> np.uint64(8))
+        values = (rounds << (np.uint64(64) - bits))[:, None] | (mixed(drawn) >> bits)
         np.minimum.at(sketch, bins.ravel().astype(np.int64), values.ravel())
         first += step
     return sketch
