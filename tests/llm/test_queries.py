@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm import brute
-from tidewatch.llm import near_duplicates as near_duplicates_module, registered
+from tidewatch.llm import licenses, near_duplicates as near_duplicates_module, registered
 from tidewatch.llm.bpe import WordEncoder, bpe_decode, bpe_encode
 from tidewatch.llm.decontamination import contained_items
 from tidewatch.llm.licenses import license_notices
@@ -348,6 +348,23 @@ def test_licenses(spark, odd, empty):
     assert license_notices(odd).count() == 0 and license_notices(empty).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation."
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."
+    docs = [(1, gpl), (2, f"one\n\n{gpl}\n\nlast"), (3, "some intro\n" + "\n".join(f"# {w}" for w in mit.split()) + "\n#\n# end")]
+    docs += [(4, "This Source Code Form is subject to the\nterms of the Mozilla Public"), (5, f"intro\n{mit}\n{mit}")]
+    lines = spark.read.parquet(f"{SF_DIR}/documents.parquet").select((F.col("doc_id") + 100).alias("doc_id"), "text")
+    found = license_notices(spark.createDataFrame(docs, "doc_id bigint, text string").union(lines))
+    got = sorted((r["doc_id"], r["line"], r["family"]) for r in found.where("doc_id < 100").collect())
+    assert got == [(1, 0, "gpl"), (2, 2, "gpl"), (3, 1, "mit"), (4, 0, "mpl"), (5, 1, "mit"), (5, 2, "mit")]
+
+
+def test_weak_words_alone_are_no_notice():
+    for words in licenses._template_words():
+        grams = {(w,) for w in words} | set(zip(words, words[1:]))
+        assert sum(licenses._WEAK >= set(g) for g in grams) < licenses.LEAST_SHARE * len(grams)
+
+
 def test_license_families_of_the_tables(spark):
     names = {"MIT License": "mit", "Apache License": "apache", "GNU General": "gpl", "CC BY-NC": "cc-by-nc"}
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")

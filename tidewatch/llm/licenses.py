@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -58,16 +61,24 @@ FEATURES = 1 << 12
 # Documents whose lines stand for text that is no notice: those with the smallest ids.
 SAMPLE_DOCS, SAMPLE_LINES = 200, 1_000
 LEAST_SHARE = 0.6
-# A notice has one of these; only such paragraphs are classified.
-_ANCHORS = r"(?i)licen[cs]e|copyright|spdx|redistribut|permission|warrant|creative commons|\bCC BY\b"
+# Words of licences in the languages of the documents; what has one may be an unknown notice.
+_ANCHORS = (
+    r"(?i)licen[cs]|lizen[zs]|copyright|urheberrecht|spdx|redistribu|weitergabe|permission|permiso|genehmigung"
+    r"|autorisation|autoriza|warrant|gew\u00e4hrleistung|garant\u00eda|garantie|derechos reservados"
+    r"|droits r\u00e9serv|rechte vorbehalten|creative commons|\bCC BY\b"
+)
+# Words of templates that say little alone. Without any other word of a template less than
+# ``LEAST_SHARE`` of it is left, so a notice has an anchor or one of the others.
+_WEAK = {"a", "and", "any", "by", "for", "in", "is", "it", "of", "or", "person", "terms", "the", "this", "to", "under"}
+_WEAK |= {"use", "with", "work", "you"}
 _NONE = 0.0
 
 
-def _grams(text: str) -> Column:
-    """Distinct words and pairs of neighbouring words, lower-case; marks other than ``.-`` inside
-    a word cut it."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"), F.lit(0))
-    return words, lambda w: F.array_distinct(
+_WORD = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
+
+
+def _grams_of_words(w: Column) -> Column:
+    return F.array_distinct(
         F.concat(
             w,
             F.zip_with(
@@ -80,9 +91,10 @@ def _grams(text: str) -> Column:
 
 
 def _with_grams(paragraphs: DataFrame) -> DataFrame:
-    words, grams = _grams("paragraph")
-    paragraphs = paragraphs.withColumn("_words", words)
-    return paragraphs.withColumn("grams", grams(F.col("_words"))).drop("_words")
+    """Add ``grams``: distinct words and pairs of neighbouring words, lower-case; marks other than
+    ``.-`` inside a word cut it."""
+    words = F.regexp_extract_all(F.lower("paragraph"), F.lit(_WORD), F.lit(0))
+    return paragraphs.withColumn("_words", words).withColumn("grams", _grams_of_words(F.col("_words"))).drop("_words")
 
 
 def _features(paragraphs: DataFrame) -> DataFrame:
@@ -96,6 +108,53 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.explode(numbered).alias("_l")).select("doc_id", "_l.*")
 
 
+def _template_words() -> list[list[str]]:
+    return [re.findall(r"\w+(?:[.-]\w+)*", x.lower()) for notices in TEMPLATES.values() for x in notices]
+
+
+def _hints() -> str:
+    """A pattern that each line run with ``LEAST_SHARE`` of a template has."""
+    words = sorted({w for words in _template_words() for w in words} - _WEAK)
+    return rf"{_ANCHORS}|\b(?:{'|'.join(map(re.escape, words))})\b"
+
+
+def _near(lines: Column, most: int) -> Column:
+    """The first of ``lines``, until one has no word or there are ``most`` words."""
+
+    def step(done: Column, line: Column) -> Column:
+        go = done["open"] & line.rlike(r"[\p{L}\p{N}]")
+        n = done["n"] + F.when(go, F.regexp_count(line, F.lit(_WORD))).otherwise(0)
+        kept = F.when(go, F.concat(done["kept"], F.array(line))).otherwise(done["kept"])
+        return F.struct(kept.alias("kept"), n.alias("n"), (go & (n < most)).alias("open"))
+
+    begin = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+    return F.aggregate(lines, begin, step, lambda done: done["kept"])
+
+
+def _runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, line, alone, before, after`` for the lines near a word of ``_hints``; the lines before
+    (nearest first) and after are those of the paragraph within the words of the longest template."""
+    most = max(map(len, _template_words())) - 1
+    hints = _hints()
+    docs = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("_text"))
+    docs = docs.where(F.col("_text").rlike(hints)).select("doc_id", F.split("_text", "\n", -1).alias("_lines"))
+    docs = docs.withColumn("_hot", F.transform("_lines", lambda line: line.rlike(hints)))
+    at = F.filter(
+        F.sequence(F.lit(0), F.size("_lines") - 1),
+        lambda i: F.exists(F.slice("_hot", i + 1, F.lit(most + 1)), lambda hot: hot),
+    )
+    docs = docs.select("doc_id", "_lines", F.explode(at).alias("line"))
+    first = F.greatest(F.col("line") - most, F.lit(0))
+    before = F.reverse(F.slice("_lines", first + 1, F.col("line") - first))
+    return docs.select(
+        "doc_id",
+        "line",
+        F.col("_lines")[F.col("line")].alias("alone"),
+        _near(before, most).alias("before"),
+        _near(F.slice("_lines", F.col("line") + 2, F.lit(most)), most).alias("after"),
+    ).where(F.col("alone").rlike(r"[\p{L}\p{N}]"))
+
+
 def train(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
     """A classifier of the families of ``TEMPLATES`` (1, 2, ...) and of no notice (0), and the
     probability that a family needs.
@@ -126,14 +185,18 @@ def train(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
 
 
 def license_notices(docs: DataFrame) -> DataFrame:
-    """``doc_id, line, family, probability, template_share`` of each line of ``docs`` (doc_id, text)
-    that reads like a licence notice, in whole texts.
-
-    A line is classified if it has one of the words of ``_ANCHORS``, without which no notice is
-    written. It gets the likeliest family if that is likely enough and if at least ``LEAST_SHARE``
-    of the words and word pairs of one of the family's templates are in the line, else "unknown".
-    Lines that the classifier takes for no notice are left out. Scoring is a sparse product for
-    each line, without shuffle. NULL and empty texts have no lines; repeated rows give repeated
+    """``doc_id, line, family, probability, template_share`` of each notice in ``docs`` (doc_id, text), in
+    whole texts; ``line`` is the one where it begins.
+
+    Each line is classified alone, and together with the lines after it in its paragraph as far as
+    the longest template reaches, so a notice may be wrapped at any width. It gets the likeliest
+    family if that is likely enough and if at least ``LEAST_SHARE`` of the words and word pairs of one
+    of the family's templates are there, else "unknown". A run of lines counts if neither its first
+    line nor the rest has that share; it begins where the template's word pairs go on over line
+    breaks. A line without family is unknown only if it has one of ``_ANCHORS`` and is no part of a run.
+    What the classifier takes for no notice is left out. Only text near a word of ``_hints`` is
+    classified, without which no template's share is reached. Scoring is a sparse product for
+    each line and run, without shuffle. NULL and empty texts have no lines; repeated rows give repeated
     results; missing ids stay NULL; other columns are ignored. Without documents nothing is
     trained on ordinary lines, and nothing is found.
     """
@@ -146,24 +209,80 @@ def license_notices(docs: DataFrame) -> DataFrame:
     for row in _with_grams(templates).collect():
         grams[row["name"]].append(row["grams"])
 
-    def share(name: str) -> Column:
-        parts = [F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) / len(g) for g in grams[name]]
+    def part(column: str, g: list) -> Column:
+        return F.size(F.array_intersect(column, F.array(*map(F.lit, g)))) / len(g)
+
+    def share(name: str, column: str = "grams") -> Column:
+        parts = [part(column, g) for g in grams[name]]
         return F.greatest(*parts) if len(parts) > 1 else parts[0]
 
-    lines = _lines(docs).where(F.col("paragraph").rlike(_ANCHORS))
-    scored = model.transform(_features(_with_grams(lines)))
+    def of_family(value) -> Column:
+        return F.coalesce(*[F.when(F.col("_name") == name, value(name)) for name in names])
+
+    rest, others = F.array_join("after", " "), F.concat(F.reverse("before"), F.col("after"))
+    around = F.concat(F.reverse("before"), F.array("alone"), F.col("after"))
+    run = F.struct(F.lit(True).alias("run"), F.concat_ws(" ", F.col("alone"), rest).alias("paragraph"))
+    line = F.struct(F.lit(False).alias("run"), F.col("alone").alias("paragraph"))
+    both = F.when(F.size("after") > 0, F.array(line, run)).otherwise(F.array(line))
+    candidates = _runs(docs).withColumn("_c", F.explode(both)).select("*", "_c.*").drop("_c")
+    candidates = candidates.where(F.col("paragraph").rlike(_hints()))
+    scored = model.transform(_features(_with_grams(candidates)))
     scored = scored.where(F.col("prediction") != _NONE).withColumn(
-        "_name", F.element_at(F.array(*map(F.lit, names)), F.col("prediction").cast("int"))
+        "_name", F.get(F.array(*map(F.lit, names)), F.col("prediction").cast("int") - 1)
     )
+
+    def grams_of(text: Column) -> Column:
+        words = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
+        return _grams_of_words(words)
+
     scored = scored.withColumns(
         {
             "probability": F.round(F.array_max(vector_to_array("probability")), 6),
-            "template_share": F.round(
-                F.coalesce(*[F.when(F.col("_name") == name, share(name)) for name in names]), 6
-            ),
+            "template_share": F.round(of_family(share), 6),
+            "_alone": grams_of(F.col("alone")),
+            "_rest": grams_of(rest),
+            "_others": grams_of(F.array_join(others, " ")),
+            "_around": grams_of(F.array_join(around, " ")),
         }
     )
-    sure = (F.col("probability") >= least) & (F.col("template_share") >= LEAST_SHARE)
+    in_run = reduce(
+        lambda a, b: a | b,
+        [
+            (part("_around", g) >= LEAST_SHARE) & (part("_others", g) < part("_around", g))
+            for own in grams.values()
+            for g in own
+        ],
+    )
+    enough = F.col("template_share") >= LEAST_SHARE
+    whole = enough & (of_family(lambda x: share(x, "_rest")) < LEAST_SHARE)
+    whole &= of_family(lambda x: share(x, "_alone")) < LEAST_SHARE
+    open_line = F.col("alone").rlike(_ANCHORS) & ~in_run
+    scored = scored.where(F.when(F.col("run"), whole).otherwise(enough | open_line))
+
+    # Words at both sides of the line breaks before, nearest first.
+    ends = F.concat(F.array("alone"), F.col("before"))
+    pairs = F.zip_with(
+        F.slice(ends, F.lit(1), F.size("before")),
+        "before",
+        lambda after, line: F.concat_ws(
+            " ",
+            F.try_element_at(F.regexp_extract_all(F.lower(line), F.lit(_WORD), F.lit(0)), F.lit(-1)),
+            F.try_element_at(F.regexp_extract_all(F.lower(after), F.lit(_WORD), F.lit(0)), F.lit(1)),
+        ),
+    )
+
+    def back(name: str) -> Column:
+        own = F.array(*[F.lit(x) for x in sorted({x for g in grams[name] for x in g if " " in x}) or [""]])
+        begin = F.struct(F.lit(0).alias("n"), F.lit(True).alias("open"))
+
+        def step(done: Column, pair: Column) -> Column:
+            go = done["open"] & F.array_contains(own, pair)
+            return F.struct((done["n"] + go.cast("int")).alias("n"), go.alias("open"))
+
+        return F.aggregate(pairs, begin, step, lambda done: done["n"])
+
+    scored = scored.withColumn("line", F.col("line") - F.when(enough, of_family(back)).otherwise(0))
+    sure = (F.col("probability") >= least) & enough
     family = F.when(sure, F.col("_name")).otherwise("unknown")
     return scored.select(
         "doc_id", F.col("line").cast("bigint"), family.alias("family"), "probability", "template_share"
