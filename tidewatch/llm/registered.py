@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewatch.llm import oracles
 from tidewatch.llm.bpe import bpe_decode, bpe_encode
 from tidewatch.llm.decontamination import contained_items
 from tidewatch.llm.licenses import license_notices
 from tidewatch.llm.near_duplicates import near_duplicates
+from tidewatch.llm.phrases import collocations
 from tidewatch.llm.pii import BASE, find_pii, is_base, spelt
 from tidewatch.llm.quality import judged
 from tidewatch.llm.substrings import repeated_words
@@ -125,10 +127,14 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_notices(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
 
-# SQL can express none of the methods within reasonable time on whole tables or at all (vocabulary files,
-# trained models, links of near copies); the tests compare with plain versions instead.
-ORACLE_SQL: dict[str, str] = {}
+# For the others SQL has no form at all (vocabulary files, trained models, links of near copies) or none
+# within reasonable time on whole tables; the tests compare with plain versions instead.
+ORACLE_SQL: dict[str, str] = {"op11_collocations": oracles.COLLOCATIONS}
