@@ -45,3 +45,26 @@ SELECT lang, rank, phrase, a, l, r, n, score
 FROM ranked JOIN (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang) USING (lang)
 WHERE rank <= 2000
 """
+
+HARD_NEGATIVES = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), compared AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+        list_inner_product(a.e, b.e)::BIGINT AS score
+    FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM compared WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id,
+    (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INTEGER AS rank,
+    other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN compared USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""

@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewatch.llm import oracles
 from tidewatch.llm.bpe import bpe_decode, bpe_encode
 from tidewatch.llm.decontamination import contained_items
+from tidewatch.llm.hard_negatives import hard_negatives, integer_vectors
 from tidewatch.llm.licenses import license_notices
 from tidewatch.llm.near_duplicates import near_duplicates
 from tidewatch.llm.phrases import collocations
+from tidewatch.llm.pieces import encode_pieces
 from tidewatch.llm.pii import BASE, find_pii, is_base, spelt
 from tidewatch.llm.quality import judged
 from tidewatch.llm.substrings import repeated_words
@@ -131,10 +133,31 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = integer_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), round_trip=True)
+    return encoded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.element_at("ends", -1).cast("bigint").alias("bytes_spanned"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
 
 # For the others SQL has no form at all (vocabulary files, trained models, links of near copies) or none
 # within reasonable time on whole tables; the tests compare with plain versions instead.
-ORACLE_SQL: dict[str, str] = {"op11_collocations": oracles.COLLOCATIONS}
+ORACLE_SQL: dict[str, str] = {
+    "op11_collocations": oracles.COLLOCATIONS,
+    "op12_hard_negatives": oracles.HARD_NEGATIVES,
+}
