@@ -27,7 +27,7 @@ _BPE = 2
 
 # Bytes of text that are encoded together, words and bytes of words that a worker remembers.
 _BATCH_BYTES = 4_000_000
-_REMEMBERED = 200_000
+_REMEMBERED = 300_000
 _LONGEST_REMEMBERED = 64
 _NEVER = float("inf")
 
@@ -102,6 +102,27 @@ def _character_starts(raw: bytes) -> np.ndarray:
     return np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80)
 
 
+def _cut(pieces: dict[str, int]) -> re.Pattern:
+    """Cuts normalised text at places that no piece spans, so no merge crosses them: before spaces,
+    between letters and marks that follow letters in no piece, around characters of no longer piece."""
+    if any(SPACE in p.lstrip(SPACE) for p in pieces) or SPACE not in pieces:
+        return re.compile(r"(?s).+")
+    joined = {pair for p in pieces for pair in itertools.pairwise(p)}
+    inside = {c for pair in joined for c in pair} - {SPACE}
+    letters = {c for c in inside if c.isalpha()}
+    marks = {c for p in pieces for c in p} - letters - {SPACE} - {b for a, b in joined if a in letters}
+
+    def one_of(characters: set[str]) -> str:
+        return "[" + "".join(map(re.escape, sorted(characters))) + "]"
+
+    forms = [f"{SPACE}+"]
+    if inside:
+        forms = [f"{SPACE}*{one_of(inside)}++", *forms, f"[^{one_of(inside | {SPACE})[1:]}+"]
+    if letters and marks:
+        forms.insert(0, f"{SPACE}*{one_of(letters)}++(?={one_of(marks)})")
+    return re.compile("|".join(forms))
+
+
 class PieceModel:
     """A model file of kind BPE. Models with user-defined pieces are refused."""
 
@@ -130,12 +151,10 @@ class PieceModel:
             self.byte_of[i] = value
         shown = {_UNKNOWN: proto.trainer_spec.unk_surface, _CONTROL: "", _BYTE: ""}
         self.shown = [shown.get(p.type, p.piece.replace(SPACE, " ")) for p in pieces]
-        # No merge crosses a place where a word ends and spaces begin, if no piece does.
-        if any(SPACE in p.lstrip(SPACE) for p in self.ids) or SPACE not in self.ids:
-            self._cut = re.compile(r"(?s).+")
-        else:
-            self._cut = re.compile(rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self._cut = _cut(self.ids)
+        # Words of late; when there are enough, those of before are forgotten.
         self._known: dict[str, tuple[bytes, bytes]] = {}
+        self._before: dict[str, tuple[bytes, bytes]] = {}
 
     def normalised(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text, and for each of its characters and its end the byte where its
@@ -217,9 +236,27 @@ class PieceModel:
 
     def _word(self, word: str) -> tuple[bytes, bytes]:
         """Ids of a word's pieces and the characters that each spans, as 32-bit numbers."""
+        found = self._before.get(word)
+        if found is None:
+            pieces = self._merged(word)
+            ids = list(map(self.ids.get, pieces))
+            lengths = list(map(len, pieces))
+            if None in ids:
+                ids, lengths = self._without_unknown(pieces)
+            form = f"<{len(ids)}I"
+            found = struct.pack(form, *ids), struct.pack(form, *lengths)
+        if len(word) <= _LONGEST_REMEMBERED:
+            if len(self._known) >= _REMEMBERED:
+                self._before = dict(self._known)
+                self._known.clear()
+            self._known[word] = found
+        return found
+
+    def _without_unknown(self, pieces: list[str]) -> tuple[list[int], list[int]]:
+        """Ids and lengths where some pieces are characters that the model does not have."""
         ids, lengths = [], []
         unknown = False
-        for piece in self._merged(word):
+        for piece in pieces:
             i = self.ids.get(piece)
             if i is not None:
                 ids.append(i)
@@ -235,12 +272,7 @@ class PieceModel:
                 ids.append(self.unknown)
                 lengths.append(1)
             unknown = i is None
-        found = struct.pack(f"<{len(ids)}I", *ids), struct.pack(f"<{len(ids)}I", *lengths)
-        if len(word) <= _LONGEST_REMEMBERED:
-            if len(self._known) >= _REMEMBERED:
-                self._known.clear()
-            self._known[word] = found
-        return found
+        return ids, lengths
 
     def encoded(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids with begin and end, and the byte spans of their pieces in the text."""
