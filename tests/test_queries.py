@@ -8,11 +8,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.check_oracles import compare
-from tests.helpers import rows_of, unique
-from tidewatch.plans import patterns
 from tidewatch.plans.registered import QUERIES
-from tidewatch.sources import tables
-from tidewatch.streaming.runner import describe, run_to_table
+from tidewatch.streaming.runner import describe
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -35,14 +32,6 @@ def test_entry(spark):
     assert entry_points.entry(spark).count() == 988
 
 
-def test_orders_are_published_if_the_products_are_large(spark):
-    summary = patterns.order_summary(tables.orders_stream(spark, SF_DIR, broadcast_bytes=0))
-    streamed = run_to_table(summary, unique("published-orders"))
-    batch = QUERIES["order_window_summary_batch"](spark, SF_DIR)
-    rounded = [(t, p, round(v, 2)) for t, p, v in rows_of(streamed)]
-    assert rounded == rows_of(batch)
-
-
 BATCH = [
     name
     for name in QUERIES

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import time
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import feed, records, rows_of, topic, unique
 from tidewatch.functions import codecs
 from tidewatch.operators.boards import rank_desc
-from tidewatch.operators.dead_letters import split_good_bad
+from tidewatch.operators.dead_letters import DECODING, split_good_bad
 from tidewatch.plans import patterns
 from tidewatch.scratch import fresh_dir, scratch_root
 from tidewatch.sources import envelope, jdbc
@@ -16,6 +17,7 @@ from tidewatch.sources.text_lines import text_lines
 from tidewatch.streaming import sinks
 from tidewatch.streaming.runner import NamedQuery, describe, finish, run_batches, run_to_table
 from tidewatch.streaming.state import state_view
+from tidewatch.streaming.store import Store
 
 
 def alert(i, level, code, seconds):
@@ -46,11 +48,11 @@ def test_fan_out_into_two_queries(spark):
 
 
 def test_dead_letters_are_counted_in_the_progress(spark):
-    good, bad = split_good_bad(codecs.decode_alerts(topic(spark, ALERTS)), "alert-decoding")
+    good, bad = split_good_bad(codecs.decode_alerts(topic(spark, ALERTS)))
     seen = []
     query = run_batches(bad, unique("bad"), lambda batch, i: seen.extend(batch.collect()))
     assert [tuple(r) for r in seen] == [("5", "junk", "fewer than 4 fields")]
-    counts = [p["observedMetrics"]["alert-decoding"] for p in query.recentProgress if p["numInputRows"]]
+    counts = [p["observedMetrics"][DECODING] for p in query.recentProgress if p["numInputRows"]]
     assert [tuple(c) for c in counts] == [(3, 0), (3, 1), (3, 0)]
 
 
@@ -85,7 +87,7 @@ def test_restart_goes_on_where_it_stopped(spark):
 
     def run():
         totals = patterns.player_totals(envelope.from_directory(spark, path, 1))
-        run_batches(totals, progress.name, sinks.batch_table(out), "update", progress)
+        run_batches(totals, progress.name, sinks.board_table(out), "update", progress)
         return rows_of(rank_desc(sinks.read_board(spark, out)))
 
     feed(spark, path, [("Bob", "3", 1.0), ("Sam", "5", 2.0), ("Sam", "x", 2.0)])
@@ -94,14 +96,11 @@ def test_restart_goes_on_where_it_stopped(spark):
     expected = [(1, "Bob", 7.0), (2, "Sam", 5.0), (3, "Amy", 1.0)]
     assert run() == expected
     assert run() == expected
-    compact = fresh_dir(spark, "compact")
-    sinks.compact_board(spark, out, compact)
-    assert rows_of(rank_desc(sinks.read_board(spark, compact))) == expected
 
 
 def test_a_replayed_batch_changes_nothing(spark):
     path = fresh_dir(spark, "replay")
-    write = sinks.batch_table(path)
+    write = sinks.board_table(path)
     batch = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "member string, score double")
     write(batch, 0)
     write(batch, 0)
@@ -109,28 +108,97 @@ def test_a_replayed_batch_changes_nothing(spark):
     assert rows_of(sinks.read_board(spark, path)) == [("a", 5.0), ("b", 2.0)]
 
 
-def test_append_after_a_partial_failure(spark):
-    path = fresh_dir(spark, "append")
-    schema = "interval_timestamp string, product string, total_value double, batch_id bigint"
+def folders(path):
+    return [d for d, _, files in os.walk(path) if any(f.endswith((".parquet", ".txt")) for f in files)]
 
-    def table():
-        return spark.read.schema(schema).parquet(path)
 
-    def append(rows):
-        rows.write.mode("append").parquet(path)
+def test_a_board_over_many_triggers_keeps_few_files(spark):
+    path = fresh_dir(spark, "board")
+    write = sinks.board_table(path, fold_every=5)
+    most, expected = 0, {}
+    for i in range(60):
+        expected |= {f"m{i % 7}": float(i), "hot": float(-i)}
+        rows = [(f"m{i % 7}", float(i)), ("hot", float(-i))]
+        write(spark.createDataFrame(rows, "member string, score double").coalesce(1), i)
+        most = max(most, len(folders(path)))
+        if i % 13 == 0:
+            assert dict(rows_of(sinks.read_board(spark, path))) == expected
+    assert dict(rows_of(sinks.read_board(spark, path))) == expected
+    assert most <= 25
+    sinks.reset_board(spark, path)
+    assert rows_of(sinks.read_board(spark, path)) == []
+    write = sinks.board_table(path, fold_every=5)
+    write(spark.createDataFrame([("m1", 0.5)], "member string, score double"), 60)
+    assert rows_of(sinks.read_board(spark, path)) == [("m1", 0.5)]
 
-    append(spark.createDataFrame([("t1", "Mouse", 46.0, 7)], schema))
-    write = sinks.append_missing(
-        ["interval_timestamp", "product"], lambda i: table().filter(F.col("batch_id") == i), append
-    )
-    summary = "interval_timestamp string, product string, total_value double"
-    batch = spark.createDataFrame([("t1", "Mouse", 46.0), ("t1", "Monitor", 140.0)], summary)
+
+def test_an_uncommitted_version_is_not_read_and_replaced(spark):
+    store = Store(spark, fresh_dir(spark, "store"))
+    one, two = (spark.createDataFrame([(x,)], "x int") for x in (1, 2))
+    store.put("rows", one)
+    store.commit("run", 0, told="a")
+    store.put("rows", one)  # the writer dies here
+    again = Store(spark, store.path)
+    assert rows_of(again.read("rows", "x int")) == [(1, 0)]
+    again.put("rows", two)
+    again.commit("run", 1)
+    assert rows_of(again.read("rows", "x int")) == [(1, 0), (2, 1)]
+    assert again.newest.notes == {"told": "a"} and again.is_committed("run", 1) and not again.is_committed("other", 0)
+    assert rows_of(again.version("rows", "x int")) == [(2,)] and rows_of(again.version("none", "x int")) == []
+    assert rows_of(Store(spark, fresh_dir(spark, "empty")).read("rows", "x int")) == []
+
+
+SUMMARY = "interval_timestamp string, product string, total_value double"
+
+
+class AppendTable:
+    """A table without transactions; rows of a micro-batch may be there in part."""
+
+    def __init__(self, spark):
+        self.spark, self.path, self.asked = spark, fresh_dir(spark, "append"), []
+        self.schema = f"{SUMMARY}, run_id string, batch_id bigint"
+        spark.createDataFrame([], self.schema).write.parquet(self.path)
+
+    def rows(self):
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def there(self, run, batch_id):
+        self.asked.append(batch_id)
+        return self.rows().where((F.col("run_id") == run) & (F.col("batch_id") == batch_id))
+
+    def append(self, rows):
+        rows.write.mode("append").parquet(self.path)
+
+
+def test_append_after_a_partial_failure(spark):
+    table, commits = AppendTable(spark), fresh_dir(spark, "commits")
+    table.append(spark.createDataFrame([("t1", "Mouse", 46.0, "", 7)], table.schema))
+
+    def sink():
+        return sinks.append_missing(commits, ["interval_timestamp", "product"], table.there, table.append)
+
+    write = sink()
+    batch = spark.createDataFrame([("t1", "Mouse", 46.0), ("t1", "Monitor", 140.0)], SUMMARY)
     write(batch, 7)
     write(batch, 7)
-    write(spark.createDataFrame([("t2", "Mouse", 1.0)], summary), 8)
-    assert rows_of(table()) == [
+    write(spark.createDataFrame([("t2", "Mouse", 1.0)], SUMMARY), 8)
+    sink()(batch, 7)
+    assert rows_of(table.rows().drop("run_id")) == [
         ("t1", "Monitor", 140.0, 7), ("t1", "Mouse", 46.0, 7), ("t2", "Mouse", 1.0, 8),
     ]
+    assert table.asked == [7]
+
+
+def test_append_with_a_fresh_checkpoint_on_the_same_table(spark):
+    """The numbers of micro-batches start again; no row is taken for one of the run before."""
+    table, commits = AppendTable(spark), fresh_dir(spark, "commits")
+    write = sinks.append_missing(commits, ["interval_timestamp", "product"], table.there, table.append)
+    stream = topic(spark, [[("Mouse", "1", 1.0)], [("Mouse", "2", 2.0)]])
+    rows = stream.select(F.lit("t").alias("interval_timestamp"), F.col("key").alias("product"), F.col("value").cast("double").alias("total_value"))
+    for _ in range(2):
+        run_batches(rows, unique("append"), write)
+    got = rows_of(table.rows().groupBy("run_id").agg(F.sum("total_value"), F.count(F.lit(1))))
+    assert [r[1:] for r in got] == [(3.0, 2), (3.0, 2)] and all(r[0] for r in got)
 
 
 def test_state_shows_open_windows(spark):

@@ -6,10 +6,16 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import records, rows_of, topic
+from tests.helpers import feed, records, rows_of, topic, unique
 from tests.test_windows import LATE_A, LATE_B
-from tidewatch.operators.strict_late import strict_final, strict_flags, strict_partials
-from tidewatch.streaming.runner import run_to_table
+from tidewatch.operators.strict_late import strict_flags
+from tidewatch.operators.window_sums import STRICT, tumbling_sums
+from tidewatch.plans.programs import into_store
+from tidewatch.scratch import exists, fresh_dir
+from tidewatch.sources.envelope import from_directory
+from tidewatch.streaming.runner import NamedQuery, finish
+from tidewatch.streaming.store import Store
+from tidewatch.streaming.strict_windows import StrictWindows
 
 
 def brute_force(rows, size, grace=0):
@@ -35,10 +41,20 @@ def numbers(df):
     return df.withColumn("v", F.col("value").cast("int"))
 
 
-def sums(stream, **kwargs):
-    partials = strict_partials(numbers(stream), "5 seconds", ["key"], {"v": "v"}, **kwargs)
-    final = strict_final(partials, "5 seconds", ["key"], ["v"])
-    return run_to_table(final.select(F.unix_seconds("window.start").alias("start"), "v"), "strict")
+def strict(stream, rest=False, v="int", **kwargs):
+    """Final windows and counts per partition of a topic under the strict rule."""
+    spark = stream.sparkSession
+    windows = StrictWindows("5 seconds", ["key"], {"v": F.col("value").cast(v)}, **kwargs)
+    path = fresh_dir(spark, "strict")
+    finish(into_store(stream, path, NamedQuery.fresh(spark, unique("strict")), None, windows))
+    store = Store(spark, path)
+    if rest:
+        windows.publish_rest(store)
+    return windows.results(store), windows.counts(store)
+
+
+def starts(results):
+    return rows_of(results.select(F.unix_seconds("window.start").alias("start"), "v"))
 
 
 @pytest.mark.parametrize("chunk_rows", [1, 7, 100, 10_000])
@@ -51,40 +67,112 @@ def test_batch_flags_against_brute_force(spark, chunk_rows, grace):
 
 
 def test_late_a(spark):
-    assert rows_of(sums(topic(spark, LATE_A))) == [(0, 1), (20, 1), (25, 1)]
+    assert starts(strict(topic(spark, LATE_A))[0]) == [(0, 1), (20, 1), (25, 1)]
 
 
 def test_late_b(spark):
-    assert rows_of(sums(topic(spark, LATE_B), chunk_rows=2)) == [(20, 1), (25, 8), (40, 1)]
+    assert starts(strict(topic(spark, LATE_B), chunk_rows=2)[0]) == [(20, 1), (25, 8), (40, 1)]
 
 
-def test_stream_against_brute_force_over_batches(spark):
+@pytest.mark.parametrize("grace", [0, 7])
+def test_stream_against_brute_force_and_batch_over_batches(spark, grace):
     """Chunks are cut by micro-batches, and both by partitions."""
     rows = shuffled_rows(240)
-    accepted = brute_force(rows, 5)
-    expected = defaultdict(lambda: [0, 0, 0])
-    for _, value, _, partition, offset in rows:
-        total = expected[partition]
-        total[0] += accepted[(partition, offset)]
-        total[1] += int(value) * accepted[(partition, offset)]
-        total[2] += not accepted[(partition, offset)]
-    stream = numbers(topic(spark, [rows[:50], rows[50:170], rows[170:]]))
-    partials = strict_partials(stream, "5 seconds", ["key"], {"v": "v"}, chunk_rows=20, buckets=3)
-    table = run_to_table(partials, "strict-brute-force")
-    ok = F.col("accepted")
-    got = table.groupBy("partition").agg(
-        F.sum(F.when(ok, F.col("n")).otherwise(0)),
-        F.sum(F.when(ok, F.col("v")).otherwise(0)),
-        F.sum(F.when(ok, 0).otherwise(F.col("n"))),
+    accepted = brute_force(rows, 5, grace)
+    counts = defaultdict(lambda: [0, 0])
+    for _, _, _, partition, offset in rows:
+        counts[partition][0] += 1
+        counts[partition][1] += not accepted[(partition, offset)]
+    stream = topic(spark, [rows[:50], rows[50:170], rows[170:]])
+    results, seen = strict(stream, rest=True, grace=f"{grace} seconds", chunk_rows=20)
+    assert rows_of(seen.select("partition", "n", "dropped")) == sorted((p, *t) for p, t in counts.items())
+    batch = tumbling_sums(
+        records(spark, rows), "5 seconds", ["key"], {"v": F.col("value").cast("int")}, "n", f"{grace} seconds", STRICT
     )
-    assert rows_of(got) == sorted((p, *t) for p, t in expected.items())
+    assert rows_of(results) == rows_of(batch.select(*results.columns))
 
 
-def test_doubles_and_no_keys(spark):
-    stream = topic(spark, [[("k", "1.5", 1.0), ("k", "2.25", 2.0), ("k", "1", 9.0)]])
-    stream = stream.withColumn("v", F.col("value").cast("double"))
-    final = strict_final(strict_partials(stream, "5 seconds", [], {"v": "v"}), "5 seconds", [], ["v"])
-    assert rows_of(run_to_table(final.select("n", "v"), "strict-doubles")) == [(2, 3.75)]
+def test_a_lagging_partition_loses_nothing(spark):
+    """Partition 1 is an hour behind partition 0 and still adds to its own windows."""
+    batches = [
+        [("a", "1", 3600.0, 0), ("a", "1", 1.0, 1)],
+        [("a", "1", 3700.0, 0), ("a", "10", 2.0, 1), ("a", "100", 7.0, 1)],
+    ]
+    results, counts = strict(topic(spark, batches))
+    assert starts(results) == [(0, 11)]
+    assert [r["dropped"] for r in counts.collect()] == [0, 0]
+    results, _ = strict(topic(spark, batches), rest=True)
+    assert starts(results) == [(0, 11), (5, 100), (3600, 1)]
+
+
+def test_an_idle_partition_does_not_hold_back_the_others(spark):
+    batches = [
+        [("a", "1", 100.0, 0), ("a", "1", 1.0, 1)],
+        [("a", "1", 200.0, 0)],
+        [("a", "10", 2.0, 1), ("a", "1", 300.0, 0)],
+    ]
+    results, counts = strict(topic(spark, batches), idle="1 minute")
+    assert starts(results) == [(0, 1), (100, 1), (200, 1)]
+    assert rows_of(counts.select("partition", "n", "dropped")) == [(0, 3, 0), (1, 2, 1)]
+
+
+def test_windows_go_on_after_a_stop(spark):
+    path, store_path = fresh_dir(spark, "topic"), fresh_dir(spark, "strict")
+    progress = NamedQuery.fresh(spark, unique("strict-restart"))
+    windows = StrictWindows("5 seconds", ["key"], {"v": F.col("value").cast("int")})
+    for i, batch in enumerate(LATE_A):
+        feed(spark, path, [(*r, 0, 10 * i + j) for j, r in enumerate(batch)])
+        for _ in range(2):  # the second start finds nothing new
+            finish(into_store(from_directory(spark, path), store_path, progress, None, windows))
+    store = Store(spark, store_path)
+    assert starts(windows.results(store)) == [(0, 1), (20, 1), (25, 1)]
+    assert list(store.newest.batches) == [spark.read.json(f"{progress.checkpoint}/metadata").first()["id"]]
+    assert store.newest.version == 2
+    assert not exists(spark, store.folder("windows-frontier", 0))
+
+
+def test_a_failed_micro_batch_is_taken_again(spark):
+    path = fresh_dir(spark, "strict")
+    progress = NamedQuery.fresh(spark, unique("strict-replay"))
+    stream = topic(spark, LATE_A)
+    fails = iter([False, True])
+
+    def then(closed, store):
+        if next(fails, False):
+            raise OSError("no space left")
+
+    windows = StrictWindows("5 seconds", ["key"], {"v": F.col("value").cast("int")}, then=then)
+    with pytest.raises(Exception, match="no space left"):
+        finish(into_store(stream, path, progress, None, windows))
+    assert Store(spark, path).newest.version == 0
+    finish(into_store(stream, path, progress, None, windows))
+    assert starts(windows.results(Store(spark, path))) == [(0, 1), (20, 1), (25, 1)]
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "decimal(20,4)"])
+def test_sums_have_the_types_and_nulls_of_a_batch(spark, kind):
+    rows = [("k", "1.5", 1.0), ("k", None, 2.0), ("m", None, 1.0), ("k", "9007199254740993", 3.0), ("k", "2", 9.0), ("m", "x", 9.5)]
+    cast = F.expr(f"try_cast(value as {kind})")
+    windows = StrictWindows("5 seconds", ["key"], {"v": cast})
+    path = fresh_dir(spark, "strict")
+    finish(into_store(topic(spark, [rows[:2], rows[2:]]), path, NamedQuery.fresh(spark, unique("types")), None, windows))
+    got = windows.results(Store(spark, path))
+    batch = tumbling_sums(records(spark, rows), "5 seconds", ["key"], {"v": cast}, "n", late=STRICT)
+    assert rows_of(got.select("key", "n", "v")) == rows_of(batch.select("key", "n", "v"))
+    assert dict(got.dtypes)["v"] == dict(batch.dtypes)["v"]
+
+
+def test_no_keys(spark):
+    stream = topic(spark, [[("k", "1.5", 1.0), (None, "2.25", 2.0), ("k", "1", 9.0)]])
+    windows = StrictWindows("5 seconds", [], {"v": F.col("value").cast("double")})
+    path = fresh_dir(spark, "strict")
+    finish(into_store(stream, path, NamedQuery.fresh(spark, unique("no-keys")), None, windows))
+    assert rows_of(windows.results(Store(spark, path)).select("n", "v")) == [(2, 3.75)]
+
+
+def test_the_strict_rule_on_a_stream_is_a_sink(spark):
+    with pytest.raises(ValueError, match="StrictWindows"):
+        tumbling_sums(topic(spark, LATE_A), "5 seconds", ["key"], {}, "n", late=STRICT)
 
 
 def test_records_without_offset_are_an_error(spark):

@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.codecs import BAD_REASON
 
 
-def observe_decoding(decoded: DataFrame, name: str | None = None) -> DataFrame:
+DECODING = "decoding"
+
+
+def observe_decoding(decoded: DataFrame, name: str = DECODING) -> DataFrame:
     """Count records and bad records on the way, without an extra pass.
 
-    The counts are in the progress of a streaming query and in ``Observation`` for a batch. The
+    The counts are in the progress of a streaming query and in ``Observation`` for a batch;
+    ``streaming.counters`` adds them up under the name of the query. The
     observation is also where the plan stops pushing filters down: the decoding above the source
     is evaluated once per record, not once more for each condition on a decoded column.
     """
     bad = F.count(F.when(F.col(BAD_REASON).isNotNull(), 1))
-    name = name or f"decoding-{uuid.uuid4().hex}"
     return decoded.observe(name, F.count(F.lit(1)).alias("records"), bad.alias("bad"))
 
 
-def split_good_bad(decoded: DataFrame, name: str | None = None) -> tuple[DataFrame, DataFrame]:
+def split_good_bad(decoded: DataFrame, name: str = DECODING) -> tuple[DataFrame, DataFrame]:
     """Good records without the reason, and bad ones as raw key, value and reason.
 
     Both are counted under ``name``. The bad side keeps the envelope only, so that column
@@ -36,7 +37,7 @@ def split_good_bad(decoded: DataFrame, name: str | None = None) -> tuple[DataFra
 
 
 def good_records(
-    decoded: DataFrame, on_error: str = "dead_letter", name: str | None = None
+    decoded: DataFrame, on_error: str = "dead_letter", name: str = DECODING
 ) -> DataFrame:
     """Good records; with ``on_error="fail"`` the first bad one stops the query instead."""
     if on_error == "dead_letter":

@@ -4,32 +4,18 @@ The stream time of a source partition is the newest time among its records so fa
 order. A record is accepted if its window ends, with grace, after the stream time. Spark's own
 watermark moves only between micro-batches, and follows the newest record of all partitions.
 
-Both forms cut a source partition into chunks of ``chunk_rows`` offsets, so that a partition
-that holds a third of all records is spread over many tasks. What happens inside a chunk is
-decided locally; from earlier chunks only their newest time (the carry) is needed.
+A source partition is cut into chunks of ``chunk_rows`` offsets, so that a partition that holds a
+third of all records is spread over many tasks. What happens inside a chunk is decided locally;
+from earlier chunks only their newest time (the carry) is needed. On a stream the newest times
+of the micro-batches before are one more carry, see ``streaming/strict_windows.py``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.streaming import StatefulProcessor
 
 CHUNK_ROWS = 500_000
 
-_BUCKET_ROWS = 1_000_000
-
-
-def buckets_for(rows_per_trigger: int) -> int:
-    """Buckets for ``strict_partials`` that hold at most a million partials each.
-
-    Each bucket also sees one row per chunk, so with these sizes the copies of the newest times
-    stay fewer than the records, up to about 10^12 records in one micro-batch.
-    """
-    return max(8, -(-rows_per_trigger // _BUCKET_ROWS))
-
 
 def _chunk(partition: str, offset: str, chunk_rows: int) -> Column:
     """The chunk of a row; the rule is defined by offsets, so a row without one is an error."""
@@ -46,11 +32,13 @@ def strict_flags(
     partition: str = "partition",
     offset: str = "offset",
     chunk_rows: int = CHUNK_ROWS,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
-    """Batch form: every row with its ``window``, ``stream_time`` and ``accepted``.
+    """Every row with its ``window``, ``stream_time`` and ``accepted``.
 
-    The rows are shuffled once, by (partition, chunk), for the running maximum, and meet the
-    carries on the same partitioning. The window over carries sees one row per chunk.
+    ``carried`` has the newest time ``newest`` of each ``partition`` before these rows, if there were
+    any. The rows are shuffled once, by (partition, chunk), for the running maximum, and meet
+    the carries on the same partitioning. The window over carries sees one row per chunk.
     """
     rows = df.withColumn("_chunk", _chunk(partition, offset, chunk_rows))
     so_far = (
@@ -61,11 +49,13 @@ def strict_flags(
     earlier = (
         Window.partitionBy(partition).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
-    carries = (
-        rows.groupBy(partition, "_chunk")
-        .agg(F.max(ts).alias("_newest"))
-        .select(partition, "_chunk", F.max("_newest").over(earlier).alias("_carry"))
-    )
+    newest = rows.groupBy(partition, "_chunk").agg(F.max(ts).alias("_newest"))
+    if carried is not None:
+        before = carried.select(
+            F.col("partition").alias(partition), F.lit(-1).cast("bigint").alias("_chunk"), "newest"
+        )
+        newest = newest.union(before)
+    carries = newest.select(partition, "_chunk", F.max("_newest").over(earlier).alias("_carry"))
     local = rows.withColumn("_local", F.max(ts).over(so_far))
     timed = local.join(carries, [partition, "_chunk"]).withColumn(
         "stream_time", F.greatest("_local", "_carry")
@@ -77,134 +67,3 @@ def strict_flags(
         .withColumn("accepted", limit > F.col("stream_time"))
         .select(*df.columns, "window", "stream_time", "accepted")
     )
-
-
-def strict_partials(
-    df: DataFrame,
-    size: str,
-    keys: list[str],
-    sums: dict[str, str],
-    grace: str = "0 seconds",
-    ts: str = "timestamp",
-    partition: str = "partition",
-    offset: str = "offset",
-    chunk_rows: int = CHUNK_ROWS,
-    buckets: int = 8,
-) -> DataFrame:
-    """Stream form: partial aggregates of accepted rows, and counts of rejected ones.
-
-    ``keys`` are string columns and ``sums`` maps result names to the columns that are summed.
-    The result has ``partition, accepted, n``, the sums, the keys and ``event_time``, the newest
-    time within the partial; all rows of an accepted partial lie in one window. Counts of
-    rejected rows need not have keys.
-
-    First each chunk is aggregated by window and key, after its own late rows are taken out.
-    Then a stateful step, which keeps one number per source partition, applies the carry. It is
-    split into ``buckets`` by key, see ``buckets_for``; each bucket sees the newest time of every
-    chunk and holds its partials of one micro-batch.
-    """
-    types = dict(df.dtypes)
-    key_cols = {f"key{i}": k for i, k in enumerate(keys)}
-    sum_cols = {f"sum{i}": name for i, name in enumerate(sums)}
-    is_double = [types[c] in ("double", "float") for c in sums.values()]
-    sum_types = ["double" if d else "bigint" for d in is_double]
-    fields = [
-        *[f"{c} bigint" for c in ("part", "bucket", "chunk", "clock", "expiry", "t", "n")],
-        "accepted boolean",
-        *[f"{c} {t}" for c, t in zip(sum_cols, sum_types)],
-        *[f"{c} string" for c in key_cols],
-    ]
-    columns = [field.split()[0] for field in fields]
-    schema = ", ".join(fields)
-    grouping = ["expiry", *key_cols]
-    sum_names = list(sum_cols)
-
-    def aggregate_chunk(chunk: pd.DataFrame) -> pd.DataFrame:
-        chunk = chunk.sort_values("at", kind="stable")
-        on_time = chunk["expiry"] > chunk["t"].cummax()
-        partial = (
-            chunk[on_time]
-            .groupby(grouping, sort=False, dropna=False)
-            .agg(t=("t", "max"), n=("t", "size"), **{s: (s, "sum") for s in sum_names})
-            .reset_index()
-        )
-        hashes = pd.util.hash_pandas_object(partial[grouping], index=False)
-        partial["bucket"] = (hashes % buckets).astype("int64")
-        partial["accepted"] = True
-        # Every bucket gets the newest time, the first one also the number of late rows.
-        clocks = pd.DataFrame({"bucket": range(buckets), "n": 0, "accepted": False})
-        clocks.loc[0, "n"] = int((~on_time).sum())
-        clocks[["expiry", "t", *sum_names]] = 0
-        clocks[list(key_cols)] = None
-        result = pd.concat([partial, clocks[partial.columns]], ignore_index=True)
-        result["part"] = chunk["part"].iloc[0]
-        result["chunk"] = chunk["chunk"].iloc[0]
-        result["clock"] = chunk["t"].max()
-        return result[columns]
-
-    class Carry(StatefulProcessor):
-        """Keeps the newest time of one source partition and rejects what the carry forbids."""
-
-        def init(self, handle) -> None:
-            self.newest = handle.getValueState("newest", "newest bigint")
-
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-            frame = pd.concat(list(rows), ignore_index=True)
-            clocks = frame.groupby("chunk")["clock"].max().sort_index()
-            known = self.newest.get()[0] if self.newest.exists() else None
-            start = clocks.min() if known is None else known
-            through = clocks.cummax().clip(lower=start)
-            self.newest.update((int(through.iloc[-1]),))
-            # Nothing is late for the first chunk of a partition that has no newest time yet.
-            carry = through.shift(1, fill_value=-(2**62) if known is None else known)
-            frame = frame[frame["n"] > 0]
-            on_time = frame["expiry"] > frame["chunk"].map(carry)
-            yield frame.assign(accepted=frame["accepted"].astype(bool) & on_time)[columns]
-
-        def close(self) -> None:
-            pass
-
-    rows = df.select(
-        F.col(partition).cast("bigint").alias("part"),
-        _chunk(partition, offset, chunk_rows).alias("chunk"),
-        F.col(offset).alias("at"),
-        F.unix_micros(ts).alias("t"),
-        F.unix_micros(F.window(ts, size)["end"] + F.expr(f"INTERVAL {grace}")).alias("expiry"),
-        *[
-            F.coalesce(F.col(c).cast(t), F.lit(0).cast(t)).alias(s)
-            for s, c, t in zip(sum_cols, sums.values(), sum_types)
-        ],
-        *[F.col(name).cast("string").alias(k) for k, name in key_cols.items()],
-    )
-    partials = rows.groupBy("part", "chunk").applyInPandas(aggregate_chunk, schema)
-    decided = partials.groupBy("part", "bucket").transformWithStateInPandas(
-        Carry(), schema, "Append", "None"
-    )
-    return decided.select(
-        F.col("part").alias("partition"),
-        "accepted",
-        "n",
-        *[F.col(s).alias(name) for s, name in sum_cols.items()],
-        *[F.col(k).alias(name) for k, name in key_cols.items()],
-        F.when(F.col("accepted"), F.timestamp_micros("t")).alias("event_time"),
-    )
-
-
-def strict_final(
-    partials: DataFrame,
-    size: str,
-    keys: list[str],
-    sums: list[str],
-    grace: str = "0 seconds",
-    skew: str = "0 seconds",
-) -> DataFrame:
-    """Final window results of the accepted partials: ``window``, keys, ``n`` and the sums.
-
-    ``skew`` is how far one source partition may lag behind another; a window is published that
-    much later, since the watermark follows the newest record of all partitions.
-    """
-    delay = f"{grace} {skew}"
-    rows = partials.filter("accepted").withWatermark("event_time", delay)
-    return rows.groupBy(F.window("event_time", size).alias("window"), *keys).agg(
-        F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in sums]
-    )

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.operators.strict_late import strict_final, strict_flags, strict_partials
+from tidewatch.operators.strict_late import strict_flags
 from tidewatch.operators.windows import NEWEST, closed_only, tumbling_final
 
 WATERMARK = "watermark"
@@ -21,8 +21,6 @@ def tumbling_sums(
     count: str | None = None,
     grace: str = "0 seconds",
     late: str = WATERMARK,
-    buckets: int = 8,
-    skew: str = "0 seconds",
 ) -> DataFrame:
     """Final ``window``, keys, sums and row ``count`` of an envelope; batch or stream.
 
@@ -31,8 +29,8 @@ def tumbling_sums(
 
     ``late="watermark"`` is Spark's own rule: late rows are found per micro-batch, and a batch,
     which is complete, has none. ``late="strict"`` decides row by row within each source
-    partition, in offset order, on batch and stream alike; ``buckets`` and ``skew`` are for the
-    strict stream only.
+    partition, in offset order. That needs the rows of a micro-batch together, so for a stream it
+    is a sink, ``streaming.strict_windows``, with the same results.
     """
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
@@ -45,10 +43,7 @@ def tumbling_sums(
     if late != STRICT:
         raise ValueError(f"late is {WATERMARK!r} or {STRICT!r}")
     if df.isStreaming:
-        names = {name: name for name in sums}
-        partials = strict_partials(df, size, list(keys), names, grace, buckets=buckets)
-        final = strict_final(partials, size, list(keys), list(sums), grace, skew)
-        return final.withColumnRenamed("n", count) if count else final.drop("n")
+        raise ValueError("on a stream the strict rule is a sink: streaming.strict_windows.StrictWindows")
     accepted = strict_flags(df, size, grace).filter("accepted")
     totals.append(F.max("timestamp").alias(NEWEST))
     return closed_only(accepted.groupBy("window", *keys).agg(*totals), grace)

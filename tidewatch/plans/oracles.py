@@ -74,6 +74,19 @@ def _high_volume(seconds: int, threshold: int) -> str:
     """
 
 
+# Windows are final once all topic partitions have passed their end.
+_LOW_WATER = "(SELECT min(t) FROM (SELECT max(epoch_us(ts)) AS t FROM events GROUP BY user_id % 4))"
+
+_FAN_OUT = """
+    SELECT 'streaming.alerts.critical' AS topic, key, value FROM ({critical})
+    UNION ALL
+    SELECT 'streaming.alerts.highvolume', '[' || code || '@' || b // 1000 || '/' || (b // 1000 + 3600000) || ']',
+           '"' || {start} || '","' || code || '","' || n || '"'
+    FROM (SELECT epoch_us(ts) // 3600000000 * 3600000000 AS b, code, count(*) AS n FROM ({alerts}) GROUP BY 1, 2)
+    WHERE b + 3600000000 <= {low_water}
+"""
+
+
 def _user_minutes(seconds: int, grace: int = 0) -> str:
     totals = _windowed(_VIEWS, seconds, '"user"', "CAST(sum(minutes) AS BIGINT) AS m", grace)
     return f"""
@@ -179,6 +192,7 @@ ORACLE_SQL: dict[str, str] = {
     "text_lines": "SELECT unnest(string_split(text, chr(10))) AS line FROM documents",
     "order_window_summary": _ORDER_SUMMARY,
     "order_window_summary_batch": _ORDER_SUMMARY,
+    "order_window_summary_batches": _ORDER_SUMMARY,
     "order_summary_report": f"""
         SELECT count(*) AS total_records, round(sum(t), 2) AS total_value
         FROM ({_windowed(_ORDERS, 5, "product", "sum(price * quantity) AS t")})""",
@@ -202,7 +216,13 @@ ORACLE_SQL: dict[str, str] = {
     "late_rejects_batch": _LATE,
     "user_minutes_strict": _STRICT_MINUTES,
     "user_minutes_strict_batch": _STRICT_MINUTES,
+    "user_minutes_strict_batches": _STRICT_MINUTES,
+    "late_rejects_batches": _LATE,
+    "append_sink_replay": _CRITICAL,
+    "fan_out": _FAN_OUT.format(critical=_CRITICAL, start=_start("b"), alerts=_ALERTS, low_water=_LOW_WATER),
     "leaderboard": _PLAYERS,
+    "leaderboard_batches": _PLAYERS,
+    "periodic_board": _PLAYERS,
     "leaderboard_ranged": _PLAYERS,
     "leaderboard_top3": f"SELECT * FROM ({_PLAYERS}) WHERE position <= 3",
     "leaderboard_last3": f"""

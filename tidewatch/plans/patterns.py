@@ -1,8 +1,8 @@
 """The five streaming patterns, from envelope records to results.
 
 Each function takes a batch or a stream and returns plain DataFrames; sinks are attached by
-the caller. Functions with two results decode once in the plan; run as two streaming queries,
-each has its own checkpoint and reads the source itself.
+the caller. The ``as_`` functions turn decoded records or window totals into what is published;
+``programs`` uses them to make several outputs of one decoding.
 """
 
 from __future__ import annotations
@@ -29,6 +29,19 @@ CRITICAL_TOPIC = "streaming.alerts.critical"
 HIGH_VOLUME_TOPIC = "streaming.alerts.highvolume"
 SENTIMENT_TOPIC = "streaming.sentiment.output"
 
+def order_value() -> dict[str, Column]:
+    """What is summed up of decoded orders."""
+    return {"total_value": F.col("price") * F.col("quantity")}
+
+
+def view_minutes() -> dict[str, Column]:
+    """What is summed up of decoded views."""
+    return {"total_minutes": F.col("minutes")}
+
+
+def _interval() -> Column:
+    return tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
+
 
 def order_summary(
     orders: DataFrame,
@@ -39,15 +52,19 @@ def order_summary(
 ) -> DataFrame:
     """Order value per product and window: ``interval_timestamp, product, total_value``."""
     good = good_records(codecs.decode_orders(orders), on_error)
-    value = F.col("price") * F.col("quantity")
-    totals = tumbling_sums(good, size, ["product"], {"total_value": value}, None, grace, late)
-    start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
-    return totals.select(start, "product", "total_value")
+    return as_order_summary(tumbling_sums(good, size, ["product"], order_value(), None, grace, late))
+
+
+def as_order_summary(totals: DataFrame) -> DataFrame:
+    return totals.select(_interval(), "product", "total_value")
 
 
 def critical_alerts(alerts: DataFrame, on_error: str = "dead_letter") -> DataFrame:
     """Keyed records of the alerts with level CRITICAL. Stateless, no shuffle."""
-    good = good_records(codecs.decode_alerts(alerts), on_error)
+    return as_critical(good_records(codecs.decode_alerts(alerts), on_error))
+
+
+def as_critical(good: DataFrame) -> DataFrame:
     value = codecs.encode_critical(F.col("alert_ts"), F.col("code"), F.col("mesg"))
     return good.filter(F.col("level") == CRITICAL).select("key", value.alias("value"))
 
@@ -62,7 +79,10 @@ def high_volume_alerts(
 ) -> DataFrame:
     """Keyed records of the codes with more than ``threshold`` alerts in a final window."""
     good = good_records(codecs.decode_alerts(alerts), on_error)
-    counts = tumbling_sums(good, size, ["code"], {}, "n", grace, late)
+    return as_high_volume(tumbling_sums(good, size, ["code"], {}, "n", grace, late), threshold)
+
+
+def as_high_volume(counts: DataFrame, threshold: int = HIGH_VOLUME) -> DataFrame:
     key, value = codecs.encode_window_count(F.col("window"), F.col("code"), F.col("n"))
     return above(counts, "n", threshold).select(key.alias("key"), value.alias("value"))
 
@@ -87,13 +107,13 @@ def user_minutes(
 ) -> DataFrame:
     """Minutes per user and window: ``interval_timestamp, user, total_minutes``."""
     good = good_records(codecs.decode_views(views), on_error)
-    minutes = {"total_minutes": F.col("minutes")}
-    totals = tumbling_sums(good, size, ["user"], minutes, None, grace, late)
-    start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
-    return totals.select(start, "user", "total_minutes")
+    return as_user_minutes(tumbling_sums(good, size, ["user"], view_minutes(), None, grace, late))
+
+
+def as_user_minutes(totals: DataFrame) -> DataFrame:
+    return totals.select(_interval(), "user", "total_minutes")
 
 
 def topic_totals(views: DataFrame, on_error: str = "dead_letter") -> DataFrame:
     """Running board ``member, score`` of the number of views per topic."""
-    good = good_records(codecs.decode_views(views), on_error)
-    return boards.running_counts(good, "view_topic")
+    return boards.running_counts(good_records(codecs.decode_views(views), on_error), "view_topic")

@@ -7,6 +7,7 @@ available and return the table their sink wrote.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 import pandas as pd
@@ -15,16 +16,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewatch.functions import codecs, text_forms as tf
 from tidewatch.operators import aggregates, boards, reports, scoring
 from tidewatch.operators.dead_letters import split_good_bad
-from tidewatch.operators.strict_late import buckets_for, strict_flags, strict_partials
+from tidewatch.operators.strict_late import strict_flags
 from tidewatch.operators.window_sums import STRICT, tumbling_sums
-from tidewatch.plans import patterns
+from tidewatch.plans import patterns, programs
 from tidewatch.scratch import fresh_dir
 from tidewatch.sources import tables
-from tidewatch.sources.envelope import assign_offsets
+from tidewatch.sources.envelope import assign_offsets, from_directory, publish_ranges
 from tidewatch.sources.text_lines import text_lines
 from tidewatch.streaming import sinks
 from tidewatch.streaming.runner import NamedQuery, finish, run_batches, run_to_table
 from tidewatch.streaming.state import state_view
+from tidewatch.streaming.store import Store
+from tidewatch.streaming.strict_windows import StrictWindows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +37,26 @@ TEST_LEXICON = {"the": 1, "is": 1, "it": 1, "of": -1, "to": -1, "a": -1}
 REPORT_SINCE = 100
 
 
+# Parts in which a topic is published for the queries over several micro-batches. The query is stopped
+# after half of them and goes on from its checkpoint.
+PARTS = 8
+FILES_PER_TRIGGER = 2
+
+
+def _in_parts(records: DataFrame, consume: Callable[[DataFrame], None]) -> None:
+    """Publish records in ranges of offsets; ``consume`` gets the topic after half of them, and again
+    after all."""
+    spark = records.sparkSession
+    first, last = records.agg(F.min("offset"), F.max("offset")).first()
+    first, last = first or 0, last or 0
+    cuts = [first + (last + 1 - first) * i // PARTS for i in range(PARTS + 1)]
+    ranges = list(itertools.pairwise(cuts))
+    path = fresh_dir(spark, "topic")
+    for part in (ranges[: PARTS // 2], ranges[PARTS // 2 :]):
+        publish_ranges(records, path, F.col("offset"), part)
+        consume(from_directory(spark, path, FILES_PER_TRIGGER))
+
+
 # Topics derived from the tables
 
 
@@ -145,7 +168,7 @@ def order_summary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "order-summary-table")
     run_batches(summary, "order-summary-report", sinks.batch_table(path))
     stored = sinks.read_batch_table(spark, path, summary)
-    report = reports.sink_report(stored, "batch_id", "total_value", -1)
+    report = reports.sink_report(stored, "version", "total_value", -1)
     return report.withColumn("total_value", F.round("total_value", 2))
 
 
@@ -228,19 +251,29 @@ def _late_counts(decided: DataFrame, records) -> DataFrame:
     )
 
 
-def _strict_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = split_good_bad(codecs.decode_views(_shifted_views(spark, sf_dir, stream=True)))
-    # All files make one micro-batch, so that the given order of records does not depend on
-    # that of the files.
-    buckets = buckets_for(tables.table(spark, sf_dir, "events").count())
-    return strict_partials(
-        good, LATE_WINDOW, ["user"], {"total_minutes": "minutes"}, buckets=buckets
-    )
+def _strict_store(spark: SparkSession, good: DataFrame, windows: StrictWindows, name: str) -> Store:
+    path = fresh_dir(spark, name)
+    finish(programs.into_store(good, path, NamedQuery.fresh(spark, name), None, windows))
+    return Store(spark, path)
+
+
+def _good_views(views: DataFrame) -> DataFrame:
+    return split_good_bad(codecs.decode_views(views))[0]
+
+
+def _strict_windows() -> StrictWindows:
+    return StrictWindows(LATE_WINDOW, ["user"], patterns.view_minutes())
+
+
+def _per_partition(windows: StrictWindows, store: Store) -> DataFrame:
+    return windows.counts(store).select("partition", "n", "dropped")
 
 
 def late_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    partials = run_to_table(_strict_partials(spark, sf_dir), "late-rejects")
-    return _late_counts(partials, F.col("n"))
+    # All files make one micro-batch, so the given order of records does not depend on that of files.
+    windows = _strict_windows()
+    store = _strict_store(spark, _good_views(_shifted_views(spark, sf_dir, stream=True)), windows, "late-rejects")
+    return _per_partition(windows, store)
 
 
 def late_rejects_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,23 +281,106 @@ def late_rejects_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _late_counts(strict_flags(good, LATE_WINDOW), F.lit(1))
 
 
-def _strict_minutes(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame:
-    good, _ = split_good_bad(codecs.decode_views(_shifted_views(spark, sf_dir, stream)))
-    buckets = buckets_for(tables.table(spark, sf_dir, "events").count()) if stream else 1
-    minutes = {"total_minutes": F.col("minutes")}
-    totals = tumbling_sums(
-        good, LATE_WINDOW, ["user"], minutes, "n", late=STRICT, buckets=buckets
-    )
+def _as_strict_minutes(totals: DataFrame) -> DataFrame:
     start = tf.iso_instant(F.col("window.start")).alias("interval_timestamp")
     return totals.select(start, "user", "n", "total_minutes")
 
 
 def user_minutes_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_table(_strict_minutes(spark, sf_dir, stream=True), "user-minutes-strict")
+    windows = _strict_windows()
+    store = _strict_store(spark, _good_views(_shifted_views(spark, sf_dir, stream=True)), windows, "user-minutes-strict")
+    windows.publish_rest(store)
+    return _as_strict_minutes(windows.results(store))
 
 
 def user_minutes_strict_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _strict_minutes(spark, sf_dir, stream=False)
+    good = _good_views(_shifted_views(spark, sf_dir))
+    totals = tumbling_sums(good, LATE_WINDOW, ["user"], patterns.view_minutes(), "n", late=STRICT)
+    return _as_strict_minutes(totals)
+
+
+def _strict_in_parts(spark: SparkSession, sf_dir: str, name: str) -> tuple[StrictWindows, Store]:
+    """The strict rule over several micro-batches, with a stop half way."""
+    windows, path, progress = _strict_windows(), fresh_dir(spark, name), NamedQuery.fresh(spark, name)
+
+    def consume(views: DataFrame) -> None:
+        finish(programs.into_store(_good_views(views), path, progress, None, windows))
+
+    _in_parts(_shifted_views(spark, sf_dir), consume)
+    return windows, Store(spark, path)
+
+
+def late_rejects_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _per_partition(*_strict_in_parts(spark, sf_dir, "late-rejects-batches"))
+
+
+def user_minutes_strict_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows, store = _strict_in_parts(spark, sf_dir, "user-minutes-strict-batches")
+    windows.publish_rest(store)
+    return _as_strict_minutes(windows.results(store))
+
+
+def order_window_summary_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = StrictWindows(patterns.ORDER_WINDOW, ["product"], patterns.order_value())
+    path, progress = fresh_dir(spark, "order-parts"), NamedQuery.fresh(spark, "order-window-summary-batches")
+
+    def consume(orders: DataFrame) -> None:
+        good, _ = split_good_bad(codecs.decode_orders(orders))
+        finish(programs.into_store(good, path, progress, None, windows))
+
+    _in_parts(assign_offsets(_orders(spark, sf_dir), ["key", "value"]), consume)
+    store = Store(spark, path)
+    windows.publish_rest(store)
+    return _rounded(patterns.as_order_summary(windows.results(store)))
+
+
+def append_sink_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Critical alerts appended to a table without transactions: the writer dies after half of a
+    micro-batch, the query is started again, and every alert is there once."""
+    path, commits = fresh_dir(spark, "alert-table"), fresh_dir(spark, "alert-commits")
+    progress = NamedQuery.fresh(spark, "append-sink-replay")
+    columns = "key string, value string, run_id string, batch_id bigint"
+    spark.createDataFrame([], columns).write.parquet(path)
+    appends = itertools.count()
+
+    def there(run: str, batch_id: int) -> DataFrame:
+        rows = spark.read.schema(columns).parquet(path)
+        return rows.where((F.col("run_id") == run) & (F.col("batch_id") == batch_id))
+
+    def append(rows: DataFrame) -> None:
+        dies = next(appends) == 3
+        if dies:
+            rows = rows.where(F.crc32("key") % 2 == 0)
+        rows.write.mode("append").parquet(path)
+        if dies:
+            raise OSError("the writer died")
+
+    write = sinks.append_missing(commits, ["key"], there, append)
+
+    def consume(alerts: DataFrame) -> None:
+        records = patterns.critical_alerts(alerts)
+        for attempt in range(2):
+            try:
+                finish(progress.start(records.writeStream.foreachBatch(write), spark))
+                return
+            except Exception as error:
+                if attempt or "the writer died" not in str(error):
+                    raise
+
+    _in_parts(_alerts(spark, sf_dir), consume)
+    return spark.read.schema(columns).parquet(path).select("key", "value")
+
+
+def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Critical alerts and codes of high volume, by one query over several micro-batches."""
+    path, progress = fresh_dir(spark, "alerting"), NamedQuery.fresh(spark, "fan-out")
+    _in_parts(_alerts(spark, sf_dir), lambda alerts: finish(programs.alerting(alerts, path, progress, size="1 hour", threshold=0)))
+    store = Store(spark, path)
+    topics = [
+        store.read(topic, "key string, value string").select(F.lit(topic).alias("topic"), "key", "value")
+        for topic in (patterns.CRITICAL_TOPIC, patterns.HIGH_VOLUME_TOPIC)
+    ]
+    return topics[0].union(topics[1])
 
 
 # Boards
@@ -272,7 +388,7 @@ def user_minutes_strict_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _streamed_board(spark: SparkSession, totals: DataFrame, name: str) -> DataFrame:
     path = fresh_dir(spark, name)
-    run_batches(totals, name, sinks.batch_table(path), mode="update")
+    run_batches(totals, name, sinks.board_table(path), mode="update")
     return sinks.read_board(spark, path)
 
 
@@ -281,6 +397,32 @@ def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boards.rank_desc(_streamed_board(spark, totals, "leaderboard"))
 
 
+def leaderboard_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board over several micro-batches, with a stop half way; folded after every few of them."""
+    path, progress = fresh_dir(spark, "leaderboard"), NamedQuery.fresh(spark, "leaderboard-batches")
+    write = sinks.board_table(path, fold_every=3)
+
+    def consume(scores: DataFrame) -> None:
+        run_batches(patterns.player_totals(scores), progress.name, write, "update", progress)
+
+    _in_parts(_scores(spark, sf_dir), consume)
+    return boards.rank_desc(sinks.read_board(spark, path))
+
+
+def periodic_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last of the rankings that are reported at every trigger."""
+    progress, path = NamedQuery.fresh(spark, "periodic-board"), fresh_dir(spark, "rankings")
+
+    def keep(ranking: DataFrame, batch_id: int) -> None:
+        ranking.write.mode("overwrite").parquet(path)
+
+    def consume(scores: DataFrame) -> None:
+        finish(sinks.report_board(patterns.player_totals(scores), progress, keep, every=None))
+
+    _in_parts(_scores(spark, sf_dir), consume)
+    return spark.read.parquet(path)
+
+
 def leaderboard_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boards.rank_desc(patterns.player_totals(_scores(spark, sf_dir)))
 
@@ -372,7 +514,7 @@ def custom_agg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "custom-agg-stream")
     run_batches(running, "custom-agg-stream", sinks.batch_table(path), mode="update")
     changes = sinks.read_batch_table(spark, path, running)
-    latest = F.max_by("total_minutes", "batch_id").alias("total_minutes")
+    latest = F.max_by("total_minutes", "version").alias("total_minutes")
     return changes.groupBy("user").agg(latest)
 
 
@@ -390,6 +532,7 @@ QUERIES: dict[str, Query] = {
     "text_lines": text_file_lines,
     "order_window_summary": order_window_summary,
     "order_window_summary_batch": order_window_summary_batch,
+    "order_window_summary_batches": order_window_summary_batches,
     "order_summary_report": order_summary_report,
     "critical_alerts": critical_alerts,
     "critical_alerts_batch": critical_alerts_batch,
@@ -406,6 +549,12 @@ QUERIES: dict[str, Query] = {
     "late_rejects_batch": late_rejects_batch,
     "user_minutes_strict": user_minutes_strict,
     "user_minutes_strict_batch": user_minutes_strict_batch,
+    "user_minutes_strict_batches": user_minutes_strict_batches,
+    "late_rejects_batches": late_rejects_batches,
+    "append_sink_replay": append_sink_replay,
+    "fan_out": fan_out,
+    "leaderboard_batches": leaderboard_batches,
+    "periodic_board": periodic_board,
     "leaderboard": leaderboard,
     "leaderboard_ranged": leaderboard_ranged,
     "leaderboard_top3": leaderboard_top3,

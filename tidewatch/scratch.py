@@ -38,3 +38,20 @@ def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     path = path or fresh_dir(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    files, hadoop_path = _hadoop(spark, path)
+    return files.exists(hadoop_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library has written; nothing happens if there is none."""
+    files, hadoop_path = _hadoop(spark, path)
+    files.delete(hadoop_path, True)

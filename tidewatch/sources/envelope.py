@@ -80,6 +80,18 @@ def publish_keyed(
     return df.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, ENVELOPE.fields)])
 
 
+def publish_ranges(records: DataFrame, path: str, position: Column, ranges: list[tuple]) -> None:
+    """Write a topic directory range by range: the records with ``begin <= position < end`` for each
+    (begin, end) in turn, a file for each of their topic partitions.
+
+    Files are streamed in the order in which they were written, so a consumer gets each topic partition
+    in that order, whatever it takes at once.
+    """
+    for begin, end in ranges:
+        rows = records.where((position >= F.lit(begin)) & (position < F.lit(end)))
+        rows.repartition("partition").write.mode("append").parquet(path)
+
+
 def assign_offsets(records: DataFrame, tiebreak: list[str]) -> DataFrame:
     """Dense offsets 0, 1, ... per topic partition in time order.
 

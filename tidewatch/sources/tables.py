@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.functions import codecs
-from tidewatch.scratch import fresh_dir
-from tidewatch.sources.envelope import from_directory, publish_keyed
+from tidewatch.sources.envelope import publish_keyed
 
 # Names of the input topics.
 ORDERS_TOPIC = "streaming.orders.input"
@@ -35,15 +34,6 @@ def _instant(column: str) -> Column:
     return F.col(column).cast("timestamp")
 
 
-def byte_size(df: DataFrame) -> int:
-    """Bytes of the values of ``df``, by one pass over it: text as it is, 8 for anything else."""
-    sizes = [
-        F.coalesce(F.octet_length(name), F.lit(0)) if kind == "string" else F.lit(8)
-        for name, kind in df.dtypes
-    ]
-    return df.agg(F.sum(sum(sizes[1:], sizes[0]))).first()[0] or 0
-
-
 def products(part: DataFrame) -> DataFrame:
     return part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product"))
 
@@ -53,9 +43,8 @@ def orders_topic(
 ) -> DataFrame:
     """Order records as JSON, keyed by order id.
 
-    On a batch the join strategy is left to Spark, which compares the size of ``product`` with
-    its broadcast limit and otherwise shuffles both sides and splits hot keys at run time. On a
-    stream nothing splits hot keys, see ``orders_stream``.
+    The join strategy is left to Spark, which compares the size of ``product`` with its broadcast
+    limit and otherwise shuffles both sides; on a batch it also splits hot keys at run time.
     """
     rows = lineitem.join(product, "l_partkey")
     order = codecs.encode_order(
@@ -74,22 +63,10 @@ def orders_topic(
     )
 
 
-def orders_stream(
-    spark: SparkSession, sf_dir: str, broadcast_bytes: int = 64 * 1024 * 1024
-) -> DataFrame:
-    """The order records as a stream.
-
-    If the products fit ``broadcast_bytes``, the stream of lineitem is joined with a broadcast
-    of them. Otherwise the records are published by a batch job, whose join copes with hot keys,
-    and the topic directory is streamed.
-    """
-    product = products(table(spark, sf_dir, "part"))
-    if byte_size(product) <= broadcast_bytes:
-        lineitem = table(spark, sf_dir, "lineitem", stream=True)
-        return orders_topic(lineitem, F.broadcast(product))
-    path = fresh_dir(spark, ORDERS_TOPIC)
-    orders_topic(table(spark, sf_dir, "lineitem"), product).write.parquet(path)
-    return from_directory(spark, path)
+def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order records as a stream of lineitem, joined with the products as they are now."""
+    lineitem = table(spark, sf_dir, "lineitem", stream=True)
+    return orders_topic(lineitem, products(table(spark, sf_dir, "part")))
 
 
 def broken_order() -> Column:

@@ -101,7 +101,8 @@ def tap(df: DataFrame, name: str, *metrics: Column) -> DataFrame:
 
 
 def observed(query: StreamingQuery, name: str) -> list[Row]:
-    """What a ``tap`` or the decoding has counted, per recent micro-batch."""
+    """What a ``tap`` or the decoding has counted, for each of the last hundred triggers at most;
+    ``counters.Counters`` has totals over all of them."""
     progress = [p["observedMetrics"] for p in query.recentProgress]
     return [metrics[name] for metrics in progress if name in metrics]
 

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewatch.operators.boards import rank_desc
 from tidewatch.streaming.runner import NamedQuery
-
-WriteBatch = Callable[[DataFrame, int], None]
+from tidewatch.streaming.store import Store, StoreOfStart, WriteBatch, appended, committed, run_id
 
 
 def to_kafka(records: DataFrame, servers: str, topic: str) -> DataStreamWriter:
@@ -33,72 +32,162 @@ def to_console(df: DataFrame, mode: str = "append") -> DataStreamWriter:
 
 
 def batch_table(path: str) -> WriteBatch:
-    """Table partitioned by ``batch_id``; a replayed batch overwrites its own partition."""
+    """Table that holds each micro-batch of each run once, see ``streaming.store``."""
+    held = StoreOfStart(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        committed(held.open(batch)[0], appended())(batch, batch_id)
 
     return write
 
 
 def read_batch_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """Table written by ``batch_table``, with the columns of ``like`` and ``batch_id``."""
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in like.dtypes)
-    return spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+    """Table written by ``batch_table``, with the columns of ``like`` and the ``version``, which counts
+    micro-batches over all runs."""
+    return Store(spark, path).read("rows", _ddl(like))
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
 
 
 def append_missing(
+    commits: str,
     keys: list[str],
-    rows_of_batch: Callable[[int], DataFrame],
+    rows_of_batch: Callable[[str, int], DataFrame],
     append: Callable[[DataFrame], None],
 ) -> WriteBatch:
     """Append sink for stores without transactions over a whole batch.
 
-    Rows carry ``batch_id``. On a replay, after a failure that left part of a batch behind, the
-    rows that are there already are left out by their keys.
+    Rows carry ``run_id`` and ``batch_id``. A micro-batch counts once it is committed in the folder
+    ``commits``; a committed one is left out. Only the first micro-batch after a start can have left
+    rows behind without a commit, so only then the store is asked for them, by run and batch, and
+    those are left out by their keys. A fresh checkpoint is a new run, so its rows are appended.
     """
+    held = StoreOfStart(commits)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        there = rows_of_batch(batch_id).select(*keys)
-        append(rows.join(there, keys, "left_anti"))
+        run = run_id(batch)
+        store, after_start = held.open(batch)
+        if store.is_committed(run, batch_id):
+            return
+        rows = batch.withColumns(
+            {"run_id": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")}
+        )
+        if after_start:
+            there = rows_of_batch(run, batch_id).select(*keys)
+            rows = rows.join(there, keys, "left_anti")
+        try:
+            append(rows)
+        except Exception:
+            # Whatever this attempt has left behind is looked up by the next one.
+            held.close()
+            raise
+        store.commit(run, batch_id)
 
     return write
 
 
 def to_jdbc(
-    spark: SparkSession, options: dict[str, str], keys: list[str], connections: int = 16
+    spark: SparkSession, options: dict[str, str], keys: list[str], commits: str, connections: int = 16
 ) -> WriteBatch:
-    """Append to a JDBC table that has a ``batch_id`` column; at most ``connections`` writers.
+    """Append to a JDBC table that has columns ``run_id`` and ``batch_id``; at most ``connections``
+    writers. ``commits`` is a shared folder.
 
     Parameters are bound by Spark, no SQL text is put together from data. Needs a database, so
     only ``append_missing`` below it is covered by tests here.
     """
 
-    def rows_of_batch(batch_id: int) -> DataFrame:
+    def rows_of_batch(run: str, batch_id: int) -> DataFrame:
         table = spark.read.format("jdbc").options(**options).load()
-        return table.filter(F.col("batch_id") == batch_id)
+        return table.filter((F.col("run_id") == run) & (F.col("batch_id") == batch_id))
 
     def append(rows: DataFrame) -> None:
         writer = rows.write.format("jdbc").options(**options, numPartitions=str(connections))
         writer.mode("append").save()
 
-    return append_missing(keys, rows_of_batch, append)
+    return append_missing(commits, keys, rows_of_batch, append)
 
 
-def read_board(spark: SparkSession, path: str) -> DataFrame:
-    """Latest score per member of a board written in ``update`` mode by ``batch_table``.
+_BOARD = "member string, score double"
 
-    Each batch holds the absolute scores of the members it changed, so a replay cannot count
-    twice.
+
+def board_table(path: str, fold_every: int = 20) -> WriteBatch:
+    """Board for ``update`` mode: one score for each member, the newest that was written.
+
+    Each micro-batch adds the absolute scores of the members that it changed, so a repeated one can't
+    count twice. Every ``fold_every`` micro-batches all of them are folded into a snapshot and what
+    the snapshot before held is removed, so the number of files is bounded.
     """
-    changes = spark.read.schema("member string, score double, batch_id bigint").parquet(path)
-    return changes.groupBy("member").agg(F.max_by("score", "batch_id").alias("score"))
+    held = StoreOfStart(path)
+
+    def fold(batch: DataFrame, store: Store) -> dict:
+        return fold_board(batch, store, fold_every)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        committed(held.open(batch)[0], fold)(batch, batch_id)
+
+    return write
+
+
+def fold_board(changed: DataFrame, store: Store, fold_every: int = 20) -> dict:
+    """The branch behind ``board_table``: ``member, score`` of changed members go into ``store``."""
+    _forget_before(store)
+    changes = store.put("changes", changed.select("member", F.col("score").cast("double").alias("score")))
+    under_way = store.newest.version + 1
+    snapshot = store.newest.notes.get("snapshot", -1)
+    if under_way - snapshot < fold_every:
+        return {}
+    latest = board_of(store).select("member", "score", F.lit(0).alias("at"))
+    latest = latest.union(changes.select("member", "score", F.lit(1)))
+    store.put("snapshots", latest.groupBy("member").agg(F.max_by("score", "at").alias("score")))
+    return {"snapshot": under_way, "snapshot_before": snapshot}
+
+
+def running_board(member: str, score: Column, fold_every: int = 20):
+    """A branch that adds ``score`` of each record to the board's score of its ``member``."""
+
+    def write(batch: DataFrame, store: Store) -> dict:
+        added = batch.select(F.col(member).alias("member"), score.cast("double").alias("score"))
+        added = added.where(F.col("member").isNotNull()).groupBy("member").agg(F.sum("score").alias("score"))
+        held = board_of(store).select("member", F.col("score").alias("_held"))
+        total = F.col("score") + F.coalesce("_held", F.lit(0.0))
+        return fold_board(added.join(held, "member", "left").select("member", total.alias("score")), store, fold_every)
+
+    return write
+
+
+def _forget_before(store: Store) -> None:
+    """Remove what only the snapshot before the last one needed; readers may still use that one."""
+    last = store.newest.notes.get("snapshot_before", -1)
+    first = store.newest.notes.get("removed", -1) + 1
+    for version in range(first, last + 1):
+        store.forget("changes", version)
+        if version < last:
+            store.forget("snapshots", version)
+    store.newest.notes["removed"] = last
+
+
+def board_of(store: Store) -> DataFrame:
+    """``member, score`` as of the newest commit."""
+    snapshot = store.newest.notes.get("snapshot", -1)
+    changes = store.read("changes", _BOARD, after=snapshot)
+    held = store.version("snapshots", _BOARD, snapshot).withColumn("version", F.lit(-1).cast("bigint"))
+    return held.union(changes).groupBy("member").agg(F.max_by("score", "version").alias("score"))
+
+
+def read_board(spark: SparkSession, path: str) -> DataFrame:
+    """``member, score`` of a board written by ``board_table``, as of its newest commit."""
+    return board_of(Store(spark, path))
 
 
-def compact_board(spark: SparkSession, path: str, to: str) -> None:
-    """Write the latest scores as the single batch -1 of a new board table, to read on from."""
-    read_board(spark, path).write.parquet(f"{to}/batch_id=-1")
+def reset_board(spark: SparkSession, path: str) -> None:
+    """Empty a board; what is written later stays. Only while no query writes to it."""
+    store = Store(spark, path)
+    store.put("snapshots", spark.createDataFrame([], _BOARD))
+    now = store.newest.version + 1
+    store.commit(snapshot=now, snapshot_before=store.newest.notes.get("snapshot", -1))
+    _forget_before(store)
 
 
 def report_board(
@@ -109,11 +198,12 @@ def report_board(
 ) -> StreamingQuery:
     """Rank a streaming board at every trigger and hand the ranking, a batch, to ``report``.
 
-    The ranking is kept next to the checkpoint until the next trigger replaces it.
+    The ranking is kept next to the checkpoint until two triggers later, so that a report may be
+    read a little longer.
     """
 
     def rank(board: DataFrame, batch_id: int) -> None:
-        report(rank_desc(board, f"{progress.checkpoint}-ranking"), batch_id)
+        report(rank_desc(board, f"{progress.checkpoint}-ranking-{batch_id % 3}"), batch_id)
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(rank)
     return progress.start(writer, totals.sparkSession, every)
