@@ -29,6 +29,19 @@ ORDER = ["orderId", "product", "quantity", "price"]
         ('{"orderId":7,"product":"A","quantity":null,"price":1}', (7, "A", 0, 1.0, None)),
         ('{"orderId":7,"quantity":1,"price":1}', (7, None, 1, 1.0, None)),
         ("{}", (0, None, 0, 0.0, None)),
+        ('{"orderId":7,"orderId":8,"product":"A","product":"B","quantity":1,"price":1}', (8, "B", 1, 1.0, None)),
+        ('{"orderId":7,"product":"A","quantity":"","price":" "}', (7, "A", 0, 0.0, None)),
+        ('{"orderId":7,"product":"A","quantity":" 3 ","price":1e2}', (7, "A", 3, 100.0, None)),
+        ('{"orderId":7,"product":"A","quantity":-3.7,"price":0.1}', (7, "A", -3, 0.1, None)),
+        ('{"orderId":7,"product":12,"quantity":1,"price":1}', (7, "12", 1, 1.0, None)),
+        ('{"orderId":7,"product":true,"quantity":1,"price":1}', (7, "true", 1, 1.0, None)),
+        ('{"orderId":7,"product":null,"quantity":1,"price":1}', (7, None, 1, 1.0, None)),
+        ('{"orderId":7,"product":{"a":1},"quantity":1,"price":1}', "bad product"),
+        ('{"orderId":7,"product":["a"],"quantity":1,"price":1}', "bad product"),
+        ('{"orderId":7,"product":"A","quantity":"3.7","price":1}', "bad number"),
+        ('{"orderId":7,"product":"A","quantity":true,"price":1}', "bad number"),
+        ('{"orderId":7,"product":"A","quantity":1,"price":{"eur":1}}', "bad number"),
+        ('{"orderId":7,"product":"A","quantity":1,"price":[1]}', "bad number"),
         ('{"orderId":7,"product":"A","quantity":1,"price":1,"x":1}', "unknown property"),
         ('{"orderId":7,"product":"A","quantity":"many","price":1}', "bad number"),
         ('{"orderId":7,"product":"A","quantity":3000000000,"price":1}', "bad number"),

@@ -17,28 +17,53 @@ ORDER_NUMBERS = {"orderId": "int", "quantity": "int", "price": "double"}
 BAD_REASON = "bad_reason"
 
 
+def _last(fields: str, name: str) -> Column:
+    """The last value under a name; NULL if there is none."""
+    place = F.array_position(F.reverse(F.map_keys(fields)), name)
+    return F.when(place > 0, F.get(F.map_values(fields), (F.size(fields) - place).cast("int")))
+
+
+def _whole(value: Column, kind: Column, text: Column) -> Column:
+    """A JSON number, cut off at the point, or a text that is a whole number; NULL if it is neither."""
+    spelt = F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
+    return F.when(kind == "STRING", spelt).otherwise(F.try_variant_get(value, "$", "double").try_cast("int"))
+
+
+def _fraction(value: Column, kind: Column, text: Column) -> Column:
+    """A JSON number or a text that is a number; NULL if it is neither."""
+    return F.when(kind == "STRING", text.try_cast("double")).otherwise(F.try_variant_get(value, "$", "double"))
+
+
 def decode_orders(df: DataFrame, strict: bool = True) -> DataFrame:
     """JSON value to ``orderId, product, quantity, price``.
 
-    The JSON text is parsed once, into a map, which also shows the property names: with
-    ``strict`` a name outside the schema makes the record bad. Fractions in whole-number fields
-    are truncated, numeric strings are accepted, missing numbers are 0.
+    The JSON text is parsed once, into a map of variants, which keeps the names and the types of the
+    values: with ``strict`` a name outside the schema makes the record bad. Of a repeated name the last
+    value counts. Fractions in whole-number fields are cut off; texts that are numbers are accepted,
+    but a whole number must be spelt as one. Missing, NULL and blank numbers are 0. A number or truth
+    value as product is taken as text, an object or array makes the record bad.
     """
-    parsed = df.withColumn("_fields", F.from_json("value", "map<string,string>"))
-    texts = {name: F.try_element_at("_fields", F.lit(name)) for name in ORDER_FIELDS}
+    parsed = df.withColumn("_fields", F.from_json("value", "map<string,variant>"))
+    values = {name: _last("_fields", name) for name in ORDER_FIELDS}
+    parsed = parsed.withColumns({f"_{name}": value for name, value in values.items()})
+    parsed = parsed.withColumns({f"_{name}_kind": F.schema_of_variant(f"_{name}") for name in ORDER_FIELDS})
     numbers, unusable = {}, F.lit(False)
     for name, kind in ORDER_NUMBERS.items():
-        number = texts[name].try_cast("double")
-        number = number.try_cast("int") if kind == "int" else number
-        unusable = unusable | (texts[name].isNotNull() & number.isNull())
-        numbers[name] = F.coalesce(number, F.lit(0).cast(kind))
-    known = [F.map_contains_key("_fields", name).cast("int") for name in ORDER_FIELDS]
+        value, found = F.col(f"_{name}"), F.col(f"_{name}_kind")
+        text = F.trim(F.try_variant_get(value, "$", "string"))
+        blank = found.isNull() | (found == "VOID") | ((found == "STRING") & (text == ""))
+        number = (_whole if kind == "int" else _fraction)(value, found, text)
+        number = F.when(found != "BOOLEAN", number)
+        unusable = unusable | (~blank & number.isNull())
+        numbers[name] = F.when(blank, F.lit(0).cast(kind)).otherwise(number)
+    nested = F.col("_product_kind").rlike("^(OBJECT|ARRAY)")
     reason = F.when(F.col("_fields").isNull(), "not a JSON object")
     if strict:
-        unknown = F.size("_fields") > sum(known[1:], known[0])
+        unknown = F.exists(F.map_keys("_fields"), lambda name: ~name.isin(ORDER_FIELDS))
         reason = reason.when(unknown, "unknown property")
-    reason = reason.when(unusable, "bad number")
-    decoded = {**texts, **numbers}
+    reason = reason.when(unusable, "bad number").when(nested, "bad product")
+    product = F.when(~nested, F.try_variant_get(F.col("_product"), "$", "string"))
+    decoded = {"product": product, **numbers}
     return parsed.select(
         *df.columns,
         *[decoded[name].alias(name) for name in ORDER_FIELDS],
