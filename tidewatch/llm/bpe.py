@@ -17,7 +17,11 @@ from pyspark.sql import DataFrame, types as T
 from tidewatch.llm.pretokens import BYTE_LETTERS, WORD_LEVEL, finder
 from tidewatch.llm.words import gathered
 
-_MEMO = 500_000
+# Bytes of words and ids that a worker remembers, and what Python needs beside them for each word.
+_MEMO = 64_000_000
+_ENTRY = 220
+# Rows that go back to Spark together.
+_ROWS = 500
 _NARROW = regex.compile(r"[\x1c-\x1f]")
 _SPACE = regex.compile(r"\p{White_Space}+")
 
@@ -113,7 +117,7 @@ def encode_pieces(pieces: list[str], vocabulary: Vocabulary) -> list[np.ndarray]
 
 
 class WordEncoder:
-    """Ids of words, remembered for up to ``_MEMO`` of them."""
+    """Ids of words, remembered in up to about ``_MEMO`` bytes."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
@@ -122,6 +126,7 @@ class WordEncoder:
         self.special = regex.compile(f"({'|'.join(special)})") if self.vocabulary.special else None
         self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def _split(self, text: str) -> list[str]:
         """Words between white space, special tokens by themselves."""
@@ -140,8 +145,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as 32-bit numbers."""
-        if len(self.words) > _MEMO or len(self.known) > _MEMO:
-            self.words, self.known = {}, {}
+        if self.held > _MEMO:
+            self.words, self.known, self.held = {}, {}, 0
         split = [self._split(text) for text in texts]
         words, known = self.words, self.known
         for token, number in self.vocabulary.special.items():
@@ -152,8 +157,10 @@ class WordEncoder:
         pieces = list({piece for own in new.values() for piece in own if piece not in known})
         for piece, ids in zip(pieces, encode_pieces(pieces, self.vocabulary)):
             known[piece] = ids.tobytes()
+            self.held += len(piece) + ids.nbytes + _ENTRY
         for word, own in new.items():
-            words[word] = b"".join([known[piece] for piece in own])
+            found = words[word] = b"".join([known[piece] for piece in own])
+            self.held += len(word) + len(found) + _ENTRY
         return [b"".join(map(words.__getitem__, own)) for own in split]
 
 
@@ -183,6 +190,27 @@ def bpe_encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     return docs.select(*kept).mapInPandas(each, schema)
 
 
+def bpe_round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``docs`` with ``ids`` as ``bpe_encode`` gives them and ``decoded`` as ``bpe_decode`` makes it of the
+    ids, in one pass of one worker for each task. Columns ``ids`` and ``decoded`` are replaced, ``text`` is
+    left out."""
+    kept = [c for c in docs.columns if c not in ("ids", "decoded", "text")]
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = _encoder(tokenizer)
+        tokens = encoder.vocabulary.tokens
+        for batch in gathered(batches):
+            found = encoder.encode([text or "" for text in batch["text"]])
+            batch = batch[kept]
+            for at in range(0, len(found), _ROWS):
+                ids = [np.frombuffer(x, np.int32) for x in found[at : at + _ROWS]]
+                texts = [" ".join(map(tokens.__getitem__, own.tolist())) for own in ids]
+                yield batch.iloc[at : at + _ROWS].assign(ids=ids, decoded=texts)
+
+    schema = docs.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+    return docs.select(*kept, "text").mapInPandas(each, schema)
+
+
 def bpe_decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """``encoded`` with ``decoded`` (string) made of ``ids``: the tokens, joined by one space, since
     such vocabularies come without a decoder. NULL and empty ids give an empty text."""

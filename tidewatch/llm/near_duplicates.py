@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewatch.llm.components import components
 from tidewatch.llm.words import mixed, shingles_of, signed
@@ -125,6 +125,57 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return both.mapInPandas(each, "a bigint, b bigint").distinct()
 
 
+def shingle_rows(texts: DataFrame, words: int) -> DataFrame:
+    """``node, size, shingle`` for each shingle of each of ``texts`` (node, text)."""
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingles_of(text, words) for text in batch["text"]]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            nodes = batch["node"].to_numpy()
+            flat = signed(np.concatenate(sets)) if sets else []
+            yield pd.DataFrame({"node": np.repeat(nodes, sizes), "size": np.repeat(sizes, sizes), "shingle": flat})
+
+    return texts.select("node", "text").mapInPandas(each, "node bigint, size bigint, shingle bigint")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``bucket, node, label`` of the buckets whose members are in several components."""
+    placed = members.select("bucket", "node").join(labels, "node", "left")
+    placed = placed.select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    several = placed.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
+    several = several.where("_low < _high").select("bucket")
+    return written(placed.join(several, "bucket", "left_semi"), "open")
+
+
+def _by_rare_shingles(nodes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` for pairs of ``nodes`` (node, label) of different components that may be similar.
+
+    The shingles of a set stand in one order for all sets, rare ones first. Of two sets with a
+    similarity of ``percent`` the first ones of each have one in common: they share ``percent`` of the
+    larger set and 2 * percent / (100 + percent) of the smaller one. At the first shingle they
+    share, they can share no more than what is left of either.
+    """
+    rows = shared.join(nodes, "node")
+    several = rows.groupBy("shingle").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
+    several = several.where("_low < _high").select("shingle")
+    rows = rows.join(several, "shingle", "left_semi")
+    # Shingles of one component only come before all others.
+    own = Window.partitionBy("node")
+    rest = F.count(F.lit(1)).over(own) - F.row_number().over(own.orderBy("often", "shingle")) + 1
+    rows = rows.withColumn("rest", rest).where(f"rest * 100 >= size * {percent}")
+    rows = written(rows.select("node", "label", "size", "shingle", "rest"), "first-shingles")
+    left = rows.where(f"rest * {100 + percent} >= size * {2 * percent}").select(
+        "shingle", *[F.col(c).alias(f"{c}_x") for c in ("node", "label", "size", "rest")]
+    )
+    right = rows.select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("node", "label", "size", "rest")])
+    pairs = left.join(right, "shingle").where(
+        "label_x <> label_y AND (size_x < size_y OR size_x = size_y AND node_x < node_y)"
+        f" AND least(rest_x, rest_y) * {100 + percent} >= {percent} * (size_x + size_y)"
+    )
+    return pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 75, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -135,8 +186,10 @@ def near_duplicates(
 
     - Equal sets are one class, so groups of copies of any size cost one row each.
     - In each bucket of a band the smallest member is compared with the others. What that links
-      is joined into components. Then members of different components that share a bucket are
-      compared with each other, so no candidate link between components is left out, while a
+      is joined into components. In buckets that hold several components the member with the
+      fewest rare shingles is compared in the same way. Then members of different components are
+      compared if they share one of their rarest shingles (``_by_rare_shingles``). Members that
+      are similar enough always do, so no candidate link between components is left out, while a
       large group of near copies is not multiplied out.
     - Pairs whose sketches are far apart are put aside (``_LEAST_EQUAL``).
     - Every link is confirmed on whole sets, computed anew from the texts.
@@ -160,7 +213,7 @@ def near_duplicates(
         F.min("node").alias("leader"), F.max("node").alias("_most")
     )
     full = full.where("leader < _most").drop("_most")
-    members = written(members.join(full, "bucket").distinct(), "buckets")
+    members = written(members.join(full, "bucket"), "buckets")
 
     nodes = members.select("node").distinct()
     texts = docs.withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
@@ -171,18 +224,29 @@ def near_duplicates(
     links = written(verified(stars, texts, words, percent), "verified")
     labels = components(links, "a", "b")
 
-    placed = members.join(labels, "node", "left")
-    placed = placed.select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    placed = written(placed, "placed")
-    mixed_buckets = placed.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
-    mixed_buckets = mixed_buckets.where("_low < _high").select("bucket")
-    open_rows = placed.join(mixed_buckets, "bucket", "left_semi")
-    one = open_rows.select("bucket", F.col("node").alias("x"), F.col("label").alias("label_x"))
-    two = open_rows.select("bucket", F.col("node").alias("y"), F.col("label").alias("label_y"))
-    crossing = one.join(two, "bucket").where("label_x < label_y")
-    crossing = crossing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    crossing = written(likely(crossing, signs).join(stars, ["a", "b"], "left_anti"), "crossing")
-    links = links.union(written(verified(crossing, texts, words, percent), "verified"))
+    # In buckets that are not one component yet the member with the fewest rare shingles, which is
+    # the closest to most others, is compared with the others.
+    still = _open(members, labels)
+    rows = shingle_rows(texts.join(still.select("node").distinct(), "node", "left_semi"), words)
+    rows = written(rows, "shingles")
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    shared = written(rows.join(often, "shingle"), "shared")
+    rare = shared.groupBy("node").agg((1 - F.count(F.lit(1)) / F.first("size")).alias("rare"))
+    still = still.join(rare, "node", "left").withColumn("rare", F.coalesce("rare", F.lit(1.0)))
+    central = still.groupBy("bucket").agg(
+        F.min_by(F.struct("node", "label"), F.struct("rare", "node")).alias("_center")
+    )
+    pairs = still.join(central, "bucket").where("label <> _center.label").select(
+        F.least("node", "_center.node").alias("a"), F.greatest("node", "_center.node").alias("b")
+    )
+    seconds = written(likely(pairs.distinct().join(stars, ["a", "b"], "left_anti"), signs), "seconds")
+    links = links.union(written(verified(seconds, texts, words, percent), "verified"))
+    labels = components(links, "a", "b")
+
+    still = _open(members, labels).select("node", "label").distinct()
+    crossing = _by_rare_shingles(still, shared, percent)
+    crossing = likely(crossing, signs).join(stars.union(seconds), ["a", "b"], "left_anti")
+    links = links.union(written(verified(written(crossing, "crossing"), texts, words, percent), "verified"))
     labels = components(links, "a", "b")
 
     labelled = classes.join(labels, "node", "left").select(
@@ -204,10 +268,11 @@ def near_duplicates(
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each group of near copies, the one with the smallest id.
-    Of rows that share a doc_id one stays; rows without doc_id stay."""
+    Of rows that share a doc_id the one with the smallest text stays (NULL first), of those with equal
+    texts one by a hash of all columns. Rows without doc_id stay. No rows give no rows."""
     found = near_duplicates(docs, **options)
     gone = found.where("NOT kept").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(
-        left.where("doc_id IS NULL")
-    )
+    own = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))
+    one = left.where("doc_id IS NOT NULL").withColumn("_place", F.row_number().over(own)).where("_place = 1")
+    return one.select(docs.columns).union(left.where("doc_id IS NULL"))

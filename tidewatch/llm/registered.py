@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.llm import oracles
-from tidewatch.llm.bpe import bpe_decode, bpe_encode
+from tidewatch.llm.bpe import bpe_round_trip
 from tidewatch.llm.decontamination import contained_items
 from tidewatch.llm.hard_negatives import hard_negatives, integer_vectors
 from tidewatch.llm.licenses import license_notices
@@ -103,9 +103,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe_encode(_documents(spark, sf_dir), tokenizer).drop("text")
-    return bpe_decode(encoded, tokenizer).select(
+    docs = _documents(spark, sf_dir)
+    return bpe_round_trip(docs, public_tokenizers.path("word_bpe_49k.json")).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -171,10 +171,12 @@ def parse_transcripts(lines: DataFrame, model: dict) -> DataFrame:
 
     Tasks get at most ``CHUNK`` lines of a conversation together. Conversations that are longer are
     decoded by chunks whose borders are settled before, with the same result. NULL lines are
-    empty lines; lines without conv_id are one conversation. ``position`` counts from 0.
+    empty lines; lines without conv_id are one conversation. ``position`` counts from 0. Columns named
+    like the results or the helpers ``chunk, observation, before, after`` are left out.
     """
     results = ["state_role", "opens", "rendered"]
-    kept = [c for c in lines.columns if c not in (*results, "chunk", "observation")]
+    helpers = ["chunk", "observation", "before", "after", "_conv", "_chunk"]
+    kept = [c for c in lines.columns if c not in (*results, *helpers)]
     lines = with_features(lines.select(*kept))
     lines = lines.withColumn("chunk", F.floor(F.col("position") / CHUNK).cast("bigint"))
     long = lines.where(F.col("position") >= CHUNK).select("conv_id").distinct()
@@ -195,7 +197,8 @@ def parse_transcripts(lines: DataFrame, model: dict) -> DataFrame:
             changed |= batch["conv_id"].isna() != batch["conv_id"].isna().shift(fill_value=False)
             starts = np.flatnonzero(changed.to_numpy())
             if len(starts):
-                yield decoded(batch.iloc[: starts[-1]], starts[:-1])
+                if starts[-1]:
+                    yield decoded(batch.iloc[: starts[-1]], starts[:-1])
                 held = batch.iloc[starts[-1] :]
         if held is not None and len(held):
             yield decoded(held, [0])
