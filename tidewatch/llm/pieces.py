@@ -74,9 +74,9 @@ class CharacterMap:
         text = self._texts[best[1] : self._texts.index(b"\0", best[1])]
         return best[0], text
 
-    def replaced(self, raw: bytes) -> Iterator[tuple[bytes, int, int]]:
-        """Runs that go on unchanged and replaced prefixes, as (text, start, end) of the original;
-        a replacement has ``end`` below zero, its end is the next start."""
+    def replaced(self, raw: bytes) -> Iterator[tuple[bytes, int, int, bool]]:
+        """Runs that go on unchanged and replaced prefixes, as (text, start, end in the original, whether
+        unchanged)."""
         at = kept = 0
         while at < len(raw):
             hit = self._begins.search(raw, at)
@@ -90,12 +90,12 @@ class CharacterMap:
                     at += 1
                 continue
             if kept < at:
-                yield raw[kept:at], kept, at
-            yield found[1], at, -1
+                yield raw[kept:at], kept, at, True
+            yield found[1], at, at + found[0], False
             at += found[0]
             kept = at
         if kept < len(raw):
-            yield raw[kept:], kept, len(raw)
+            yield raw[kept:], kept, len(raw), True
 
 
 def _character_starts(raw: bytes) -> np.ndarray:
@@ -165,27 +165,34 @@ class PieceModel:
             if raw and self.dummy_prefix:
                 return SPACE + text.replace(" ", SPACE), np.append(0, starts)
             return text.replace(" ", SPACE), starts
-        parts, origins = [], []
-        for new, start, end in self.map.replaced(raw) if self.map else [(raw, 0, len(raw))]:
+        parts, origins, lead = [], [], 0
+        for new, start, end, same in self.map.replaced(raw) if self.map else [(raw, 0, len(raw), True)]:
             at = _character_starts(new)
             parts.append(new.decode())
-            origins.append(at + start if end >= 0 else np.full(len(at), start))
+            origins.append(at + start if same else np.full(len(at), start))
+            if lead == start and not parts[-1].strip(" ") and new:
+                lead = end
+            elif lead == start and same:
+                lead += len(new) - len(new.lstrip(b" "))
         normal = "".join(parts)
         origin = np.append(np.concatenate([np.empty(0, np.int64), *origins]), len(raw))
-        if self.squeeze:
+        if not self.squeeze:
+            lead = 0
+        elif lead == len(raw):
+            return "", origin[-1:]
+        else:
+            # A space is kept behind a character that is none.
             spaces = np.array([c == " " for c in normal], bool)
-            # A space is kept behind a character that is none, and not at the end.
-            kept = ~spaces | np.append(False, ~spaces[:-1])[: len(spaces)]
-            last = np.flatnonzero(~spaces)[-1:] + 1
-            after = int(last[0]) if len(last) else 0
-            kept[after:] = False
-            if after < len(normal):
-                origin[-1] = origin[after]
+            kept = ~spaces | np.append(False, ~spaces)[: len(spaces)]
             normal = "".join(c for c, keep in zip(normal, kept, strict=True) if keep)
-            origin = np.append(origin[:-1][kept], origin[-1])
-        if normal and self.dummy_prefix:
-            return SPACE + normal.replace(" ", SPACE), np.append(origin[0], origin)
-        return normal.replace(" ", SPACE), origin
+            origin = origin[np.append(kept, True)]
+        if raw and self.dummy_prefix:
+            normal, origin = " " + normal, np.append(lead, origin)
+        normal = normal.replace(" ", SPACE)
+        if self.squeeze:
+            normal = normal.rstrip(SPACE)
+            origin = origin[: len(normal) + 1]
+        return normal, origin
 
     def _merged(self, word: str) -> list[str]:
         """Pieces of a word: of all neighbours whose union is a piece, the best one, then the
@@ -291,9 +298,6 @@ class PieceModel:
 
     def decoded(self, ids: np.ndarray) -> str:
         """The text of the pieces; runs of bytes are UTF-8, each byte that is not becomes U+FFFD."""
-        first = ids[~self.is_control[ids]][:1]
-        if not len(first):
-            return ""
         is_byte = self.byte_of[ids] >= 0
         shown = [self.shown[i] for i in ids.tolist()]
         if is_byte.any():
@@ -301,10 +305,17 @@ class PieceModel:
             for a, b in zip(edges[::2], edges[1::2], strict=True):
                 run = bytes(self.byte_of[ids[a:b]].tolist())
                 shown[a] = run.decode("utf-8", "tidewatch-bytes")
-        text = "".join(shown)
-        if (self.dummy_prefix or self.squeeze) and self.byte_of[first[0]] < 0 and first[0] != self.unknown:
-            return text.lstrip(" ") if self.squeeze else text.removeprefix(" ")
-        return text
+        if self.dummy_prefix or self.squeeze:
+            # The space before the first piece goes; with ``squeeze`` also those of pieces that are nothing else.
+            for i, number in enumerate(ids.tolist()):
+                if self.is_control[number]:
+                    continue
+                if is_byte[i] or number == self.unknown:
+                    break
+                shown[i] = shown[i].removeprefix(" ")
+                if shown[i] or not self.squeeze:
+                    break
+        return "".join(shown)
 
 
 @functools.lru_cache(maxsize=2)
