@@ -47,8 +47,8 @@ def test_custom_agg_stream_keeps_its_accumulators(spark):
     path = fresh_dir(spark, "custom")
     run_batches(running, "custom", sinks.batch_table(path), mode="update")
     changes = sinks.read_batch_table(spark, path, running)
-    assert changes.select("batch_id").distinct().count() == 3
-    assert rows_of(changes.groupBy("key").agg(F.max_by("acc", "batch_id"))) == expected(ROWS)
+    assert changes.select("version").distinct().count() == 3
+    assert rows_of(changes.groupBy("key").agg(F.max_by("acc", "version"))) == expected(ROWS)
 
 
 def summary(spark, rows):
