@@ -235,16 +235,21 @@ def license_notices(docs: DataFrame) -> DataFrame:
         words = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
         return _grams_of_words(words)
 
-    scored = scored.withColumns(
-        {
-            "probability": F.round(F.array_max(vector_to_array("probability")), 6),
-            "template_share": F.round(of_family(share), 6),
-            "_alone": grams_of(F.col("alone")),
-            "_rest": grams_of(rest),
-            "_others": grams_of(F.array_join(others, " ")),
-            "_around": grams_of(F.array_join(around, " ")),
-        }
-    )
+    # Generated columns are computed once for each row: filters on them are not pushed below, where each
+    # template would compute the words again.
+    found = {
+        "probability": F.round(F.array_max(vector_to_array("probability")), 6),
+        "_grams": F.col("grams"),
+        "_alone": grams_of(F.col("alone")),
+        "_rest": grams_of(rest),
+        "_others": grams_of(F.array_join(others, " ")),
+        "_around": grams_of(F.array_join(around, " ")),
+    }
+    found = F.explode(F.array(F.struct(*[value.alias(name) for name, value in found.items()])))
+    scored = scored.select("doc_id", "line", "run", "alone", "before", "after", "_name", found.alias("_found"))
+    scored = scored.select("*", "_found.*").drop("_found")
+    share_of_family = F.round(of_family(lambda name: share(name, "_grams")), 6)
+    scored = scored.select("*", F.explode(F.array(share_of_family)).alias("template_share"))
     in_run = reduce(
         lambda a, b: a | b,
         [
