@@ -21,6 +21,8 @@ CODE_BITS = 18
 BLOCK_IDS = 1 << 18
 CHECKPOINT_IDS = 64
 _MEMO = 600_000
+# So many places of runs (24 bytes each) go to all tasks; more are joined by their keys.
+_RUNS_SENT = 200_000
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f]) (?=[^\s\x1c-\x1f])")
 
 
@@ -29,7 +31,7 @@ class ByteLevelEncoder(dict):
 
     A text is cut at single spaces, where the vocabulary's pattern cuts as well, and each chunk's
     ids are looked up here. For a new chunk the pattern's pieces go through the library's model.
-    Up to ``_MEMO`` chunks are remembered.
+    Up to ``_MEMO`` chunks are remembered. A vocabulary of more than 65,536 ids raises.
     """
 
     def __init__(self, path: str):
@@ -45,21 +47,29 @@ class ByteLevelEncoder(dict):
         if len(self) >= _MEMO:
             self.clear()
             self.known.clear()
-        out = self[chunk] = b"".join([self.known.get(p) or self._new(p) for p in self.pieces(chunk)])
+        # A space and ASCII letters are one piece.
+        if chunk.isascii() and chunk.removeprefix(" ").isalpha():
+            out = self.known.get(chunk) or self._new(chunk)
+        else:
+            out = b"".join([self.get(p) or self.known.get(p) or self._known(p) for p in self.pieces(chunk)])
+        self[chunk] = out
+        return out
+
+    def _known(self, piece: str) -> bytes:
+        out = self.known[piece] = self._new(piece)
         return out
 
     def _new(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-        ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
-        out = self.known[piece] = array("H", ids).tobytes()
-        return out
+        return array("H", [token.id for token in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text without special tokens. A run of spaces is one piece, so it isn't cut."""
-        if "  " in text:
-            return b"".join([self[text[a:b]] for a, b in _between_runs(text)])
-        first, *others = text.split(" ")
-        return self[first] + b"".join([self[" " + chunk] for chunk in others])
+        if "  " in text or "\0" in text:
+            chunks = [text[a:b] for a, b in _between_runs(text)]
+        else:
+            chunks = text.replace(" ", "\0 ").split("\0")
+        return b"".join(map(self.__getitem__, chunks))
 
     def encode(self, text: str) -> bytes:
         for token, number in self.special.items():
@@ -172,14 +182,21 @@ def unpack(payload: bytes, checkpoints: np.ndarray, n: int, most: int, table: np
 
 
 def _encoded(docs: DataFrame, path: str) -> DataFrame:
-    """Ids of all documents, written in ascending order: ``part, doc_id, ids``."""
+    """Ids of all documents, written in ascending order: ``part, seq, doc_id, ids``. The last row of
+    each part has no ``seq``, but the ids ``used`` in the part and their ``times``."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(path)
         end = np.uint16(END).tobytes()
+        total = np.zeros(1 << 16, np.int64)
         for batch in batches:
             ids = [encoder.encode(text or "") + end for text in batch["text"]]
-            yield batch[["part", "seq", "doc_id"]].assign(ids=ids)
+            total += np.bincount(np.frombuffer(b"".join(ids), np.uint16), minlength=1 << 16)
+            yield batch[["part", "seq", "doc_id"]].assign(ids=ids, used=None, times=None)
+        used = np.flatnonzero(total)
+        if len(used):
+            nothing = {name: pd.array([None], "Int64") for name in ("part", "seq", "doc_id")}
+            yield pd.DataFrame(nothing).assign(ids=None, used=[used], times=[total[used]])
 
     order = [F.col("doc_id"), F.xxhash64("text")]
     sorted_docs = docs.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -189,25 +206,16 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
         F.col("doc_id").cast("bigint"),
         "text",
     )
-    schema = "part int, seq bigint, doc_id bigint, ids binary"
+    schema = "part int, seq bigint, doc_id bigint, ids binary, used array<int>, times array<bigint>"
     return written(numbered.mapInPandas(each, schema), "ids")
 
 
 def _counts(encoded: DataFrame) -> np.ndarray:
     """How often each id occurs in all documents; one number for each id comes to the driver."""
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            ids = np.frombuffer(b"".join(batch["ids"]), np.uint16)
-            total += np.bincount(ids, minlength=1 << 16)
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "n": total[used]})
-
-    partial = encoded.select("ids").mapInPandas(each, "id bigint, n bigint")
+    found = encoded.where("used IS NOT NULL").select(F.explode(F.arrays_zip("used", "times")).alias("c"))
     counts = np.zeros(1 << 16, np.int64)
-    for row in partial.groupBy("id").agg(F.sum("n").alias("n")).collect():
-        counts[row["id"]] = row["n"]
+    for row in found.groupBy("c.used").agg(F.sum("c.times").alias("n")).collect():
+        counts[row["used"]] = row["n"]
     return counts
 
 
@@ -215,10 +223,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str) -> None:
     """Encode ``docs`` (doc_id, text) and write them in ascending doc_id order to files in ``path``.
 
     ``<path>/code`` has the length of the code of each id, which defines the canonical code.
-    ``<path>/blocks`` has rows of consecutive documents: ``part`` and ``block`` order them,
+    ``<path>/blocks`` has rows of consecutive documents: ``part``, ``run`` and ``block`` order them,
     ``payload`` holds the bits, ``checkpoints`` the bit at which every 64th id starts, ``doc_ids``
-    and ``n_tokens`` the documents, ``before`` the number of ids before the block in its part.
-    Any block can be decoded from the code and its own row.
+    and ``n_tokens`` the documents, ``before`` the number of ids before the block in its run.
+    A run is what one task read in one piece of the encoded rows, which are in order in their files, so
+    nothing is shuffled again. Any block can be decoded from the code and its own row.
 
     A document is its ids and the id 0. NULL and empty texts have the id 0 only. Rows without
     doc_id come first; rows of one doc_id are ordered by a hash of their texts. An empty table
@@ -233,38 +242,42 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str) -> None:
     code = spark.createDataFrame([(int(i), int(lengths[i])) for i in used], "id int, bits int")
     code.coalesce(1).write.mode("overwrite").parquet(f"{path}/code")
 
-    names = ["part", "block", "before", "payload", "checkpoints", "doc_ids", "n_tokens"]
+    names = ["part", "run", "block", "before", "payload", "checkpoints", "doc_ids", "n_tokens"]
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes = Code(lengths).codes()
-        part, block, rows, size, before = None, None, [], 0, 0
+        part, run, block, rows, size, before, following = None, None, None, [], 0, 0, None
 
         def closed() -> pd.DataFrame:
             payload, at = pack(np.frombuffer(b"".join(ids for _, ids in rows), np.uint16), lengths, codes)
             n_tokens = [len(ids) // 2 for _, ids in rows]
-            row = (part, block, before, payload, at.tobytes(), [doc_id for doc_id, _ in rows], n_tokens)
+            row = (part, run, block, before, payload, at.tobytes(), [doc_id for doc_id, _ in rows], n_tokens)
             return pd.DataFrame([row], columns=names)
 
         for batch in batches:
             doc_ids = [None if pd.isna(x) else int(x) for x in batch["doc_id"]]
             for own, seq, doc_id, ids in zip(batch["part"], batch["seq"], doc_ids, batch["ids"]):
-                if rows and (own != part or size >= BLOCK_IDS):
+                goes_on = own == part and seq == following
+                if rows and (not goes_on or size >= BLOCK_IDS):
                     yield closed()
-                    before = before + size if own == part else 0
+                    before += size
                     rows, size = [], 0
+                if not goes_on:
+                    part, run, before = own, seq, 0
                 if not rows:
-                    part, block = own, seq
+                    block = seq
                 rows.append((doc_id, ids))
                 size += len(ids) // 2
+                following = seq + 1
         if rows:
             yield closed()
 
     schema = (
-        "part int, block bigint, before bigint, payload binary, checkpoints binary, "
+        "part int, run bigint, block bigint, before bigint, payload binary, checkpoints binary, "
         "doc_ids array<bigint>, n_tokens array<bigint>"
     )
-    by_part = encoded.repartition("part").sortWithinPartitions("part", "seq")
-    by_part.mapInPandas(blocks, schema).write.mode("overwrite").parquet(f"{path}/blocks")
+    in_order = encoded.where("seq IS NOT NULL").select("part", "seq", "doc_id", "ids")
+    in_order.mapInPandas(blocks, schema).write.mode("overwrite").parquet(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -274,13 +287,17 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     bits = np.zeros(1 << 16, np.int64)
     for row in spark.read.parquet(f"{path}/code").collect():
         bits[row["id"]] = row["bits"]
-    sizes = blocks.select(
-        "part", F.aggregate("n_tokens", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n")
-    )
-    parts = sizes.groupBy("part").agg(F.sum("n").alias("n"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    n_ids = F.aggregate("n_tokens", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    runs = blocks.select("part", "run", n_ids.alias("n")).groupBy("part", "run").agg(F.sum("n").alias("n"))
     # One row for each part, so no more than there are write tasks.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = runs.groupBy("part").agg(F.sum("n").alias("n"))
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_start"))
+    in_part = Window.partitionBy("part").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("run_start", F.coalesce(F.sum("n").over(in_part), F.lit(0)))
+    runs = runs.join(parts, "part").select("part", "run", (F.col("part_start") + F.col("run_start")).alias("first"))
+    if blocks.select("part", "run").distinct().count() <= _RUNS_SENT:
+        runs = F.broadcast(runs)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = Code(bits)
@@ -300,7 +317,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     }
                 )
 
-    placed = blocks.join(F.broadcast(parts), "part").select(
-        "payload", "checkpoints", "doc_ids", "n_tokens", (F.col("part_start") + F.col("before")).alias("first")
+    placed = blocks.join(runs, ["part", "run"]).select(
+        "payload", "checkpoints", "doc_ids", "n_tokens", (F.col("first") + F.col("before")).alias("first")
     )
     return placed.mapInPandas(each, "doc_id bigint, start bigint, ids binary")
