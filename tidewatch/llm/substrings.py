@@ -22,10 +22,11 @@ from tidewatch.scratch import written
 SPAN = 20
 _GRAM = 8
 
+_PLACE_SCHEMA = "part bigint, name bigint, doc_id bigint, copy bigint, start bigint, windows bigint"
+_PIECE_SCHEMA = f"{_PLACE_SCHEMA}, words binary"
 _PIECE = ["part", "name", "doc_id", "copy", "start", "windows", "words"]
-_PIECE_SCHEMA = (
-    "part bigint, name bigint, doc_id bigint, copy bigint, start bigint, windows bigint, words string"
-)
+_PASSAGE = ["part", "name", "first_doc", "first_start", "words"]
+_ALONE = 20_000
 
 
 def _name(part: bytes) -> int:
@@ -140,26 +141,37 @@ def _anchors(docs: DataFrame, span: int, gram: int) -> DataFrame:
     return docs.mapInPandas(each, "doc_id bigint, anchor bigint, times bigint")
 
 
-def _pieces(docs: DataFrame, span: int, gram: int) -> DataFrame:
+def _pieces(docs: DataFrame, span: int, gram: int, with_words: bool) -> DataFrame:
     """The pieces of documents whose anchor is in ``repeated``; ``name`` is a hash of the words."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            columns = [batch[c] for c in ("doc_id", "copy", "text", "repeated")]
-            for doc_id, copy, text, repeated in zip(*columns):
+            columns = {name: [] for name in _PIECE[:-1]}
+            parts = []
+            for doc_id, copy, text, repeated in zip(*[batch[c] for c in ("doc_id", "copy", "text", "repeated")]):
                 words = words_of(text)
                 found, starts, windows = pieces_of(word_hashes(text), span, gram)
                 found = signed(found)
                 chosen = np.isin(found, np.asarray(repeated, np.int64))
-                for anchor, start, n in zip(
-                    found[chosen].tolist(), starts[chosen].tolist(), windows[chosen].tolist()
-                ):
-                    part = b" ".join(words[start : start + n + span - 1])
-                    rows.append((anchor, _name(part), doc_id, copy, start, n, part.decode()))
-            yield pd.DataFrame(rows, columns=_PIECE)
+                found, starts, windows = found[chosen], starts[chosen], windows[chosen]
+                joined = b" ".join(words)
+                at = np.zeros(len(words) + 1, np.int64)
+                np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=at[1:])
+                ends = at[starts + windows + span - 1] - 1
+                own = [joined[a:b] for a, b in zip(at[starts].tolist(), ends.tolist())]
+                columns["part"].append(found)
+                columns["name"].append(np.fromiter(map(_name, own), np.int64, len(own)))
+                columns["doc_id"].append(np.full(len(own), doc_id))
+                columns["copy"].append(np.full(len(own), copy))
+                columns["start"].append(starts)
+                columns["windows"].append(windows)
+                if with_words:
+                    parts += own
+            if len(batch):
+                out = pd.DataFrame({name: np.concatenate(values) for name, values in columns.items()})
+                yield out.assign(words=parts) if with_words else out
 
-    return docs.mapInPandas(each, _PIECE_SCHEMA)
+    return docs.mapInPandas(each, _PIECE_SCHEMA if with_words else _PLACE_SCHEMA)
 
 
 def _windows(pieces: DataFrame, span: int) -> DataFrame:
@@ -170,11 +182,11 @@ def _windows(pieces: DataFrame, span: int) -> DataFrame:
             rows = []
             columns = [batch[c] for c in ("doc_id", "copy", "start", "words")]
             for doc_id, copy, start, words in zip(*columns):
-                words = words.encode().split(b" ")
+                words = words.split(b" ")
                 for i in range(len(words) - span + 1):
                     part = b" ".join(words[i : i + span])
                     name = _name(part)
-                    rows.append((name, name, doc_id, copy, start + i, 1, part.decode()))
+                    rows.append((name, name, doc_id, copy, start + i, 1, part))
             yield pd.DataFrame(rows, columns=_PIECE)
 
     return pieces.mapInPandas(each, _PIECE_SCHEMA)
@@ -198,11 +210,12 @@ def _earlier(passages: DataFrame, span: int, shard_words: int) -> DataFrame:
 
     Rows arrive by shard, sorted by anchor and first occurrence. A task gathers whole anchors to
     ``shard_words`` words, builds their automaton and streams them through it. The words that
-    belong to one anchor are bounded before, see ``repeated_words``.
+    belong to one anchor are bounded before, see ``repeated_words``. The windows of one piece have
+    their anchor at different places, so a passage that is alone under its anchor repeats nothing.
     """
 
     def of_shard(rows: list[tuple]) -> pd.DataFrame:
-        automaton, sequences = SuffixAutomaton(), [r[4].encode().split(b" ") for r in rows]
+        automaton, sequences = SuffixAutomaton(), [r[4].split(b" ") for r in rows]
         for number, sequence in enumerate(sequences):
             automaton.add(sequence, number)
         masks = []
@@ -212,22 +225,41 @@ def _earlier(passages: DataFrame, span: int, shard_words: int) -> DataFrame:
                 if owner < number:
                     mask |= 1 << (end - span + 1)
             masks.append(mask)
-        out = pd.DataFrame([r[:4] for r in rows], columns=["part", "name", "first_doc", "first_start"])
+        return with_masks(rows, masks)
+
+    def with_masks(rows: list[tuple], masks: list[int]) -> pd.DataFrame:
+        out = pd.DataFrame([r[:4] for r in rows], columns=_PASSAGE[:4])
         return out.assign(mask=np.array(masks, np.int64))
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, size, last = [], 0, None
+    def by_anchor(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+        own: list[tuple] = []
         for batch in batches:
-            columns = [batch[c] for c in ("part", "name", "first_doc", "first_start", "words")]
-            for row in zip(*columns):
-                if row[0] != last and size >= shard_words:
-                    yield of_shard(rows)
-                    rows, size = [], 0
-                last = row[0]
-                rows.append(row)
-                size += row[4].count(" ") + 1
+            for row in zip(*[batch[c] for c in _PASSAGE]):
+                if own and row[0] != own[0][0]:
+                    yield own
+                    own = []
+                own.append(row)
+        if own:
+            yield own
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, size, alone = [], 0, []
+        for own in by_anchor(batches):
+            if len(own) == 1:
+                alone += own
+            else:
+                rows += own
+                size += sum(row[4].count(b" ") + 1 for row in own)
+            if size >= shard_words:
+                yield of_shard(rows)
+                rows, size = [], 0
+            if len(alone) >= _ALONE:
+                yield with_masks(alone, [0] * len(alone))
+                alone = []
         if rows:
             yield of_shard(rows)
+        if alone:
+            yield with_masks(alone, [0] * len(alone))
 
     schema = "part bigint, name bigint, first_doc bigint, first_start bigint, mask bigint"
     return passages.mapInPandas(each, schema)
@@ -269,9 +301,9 @@ def repeated_words(
     lists = lists.groupBy("doc_id").agg(F.collect_set("anchor").alias("repeated"))
     marked = written(docs.join(lists, "doc_id").dropDuplicates(key), "marked")
 
-    pieces = _pieces(marked, span, gram)
+    pieces = _pieces(marked, span, gram, with_words=True)
     passages = written(_distinct(pieces), "passages")
-    places = pieces.drop("words")
+    places = _pieces(marked, span, gram, with_words=False)
     hot = passages.groupBy("part").count().where(F.col("count") > hot_passages).select("part")
     hot = written(hot, "hot")
     if not hot.isEmpty():
