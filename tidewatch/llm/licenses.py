@@ -61,12 +61,14 @@ FEATURES = 1 << 12
 # Documents whose lines stand for text that is no notice: those with the smallest ids.
 SAMPLE_DOCS, SAMPLE_LINES = 200, 1_000
 LEAST_SHARE = 0.6
-# Words of licences in the languages of the documents; what has one may be an unknown notice.
-_ANCHORS = (
-    r"(?i)licen[cs]|lizen[zs]|copyright|urheberrecht|spdx|redistribu|weitergabe|permission|permiso|genehmigung"
-    r"|autorisation|autoriza|warrant|gew\u00e4hrleistung|garant\u00eda|garantie|derechos reservados"
-    r"|droits r\u00e9serv|rechte vorbehalten|creative commons|\bCC BY\b"
-)
+# Words of licences in the languages of the documents; what has one may be an unknown notice.
+_STEMS = [
+    "licenc", "licens", "lizenz", "lizens", "copyright", "urheberrecht", "spdx", "redistribu", "weitergabe",
+    "permission", "permiso", "genehmigung", "autorisation", "autoriza", "warrant", "gew\u00e4hrleistung",
+    "garant\u00eda", "garantie", "derechos reservados", "droits r\u00e9serv", "rechte vorbehalten",
+    "creative commons",
+]
+_ANCHORS = rf"(?i){'|'.join(_STEMS)}|\bCC BY\b"
 # Words of templates that say little alone. Without any other word of a template less than
 # ``LEAST_SHARE`` of it is left, so a notice has an anchor or one of the others.
 _WEAK = {"a", "and", "any", "by", "for", "in", "is", "it", "of", "or", "person", "terms", "the", "this", "to", "under"}
@@ -93,8 +95,7 @@ def _grams_of_words(w: Column) -> Column:
 def _with_grams(paragraphs: DataFrame) -> DataFrame:
     """Add ``grams``: distinct words and pairs of neighbouring words, lower-case; marks other than
     ``.-`` inside a word cut it."""
-    words = F.regexp_extract_all(F.lower("paragraph"), F.lit(_WORD), F.lit(0))
-    return paragraphs.withColumn("_words", words).withColumn("grams", _grams_of_words(F.col("_words"))).drop("_words")
+    return paragraphs.withColumn("_words", _words(F.col("paragraph"))).withColumn("grams", _grams_of_words(F.col("_words"))).drop("_words")
 
 
 def _features(paragraphs: DataFrame) -> DataFrame:
@@ -112,47 +113,81 @@ def _template_words() -> list[list[str]]:
     return [re.findall(r"\w+(?:[.-]\w+)*", x.lower()) for notices in TEMPLATES.values() for x in notices]
 
 
+def _trie(words: set[str]) -> str:
+    """A pattern of ``words`` that looks at each letter of the text once."""
+    following: dict[str, set] = {}
+    for word in words - {""}:
+        following.setdefault(word[0], set()).add(word[1:])
+    options = "|".join(re.escape(c) + _trie(rest) for c, rest in sorted(following.items()))
+    return f"(?:{options})" + ("?" if "" in words else "") if options else ""
+
+
 def _hints() -> str:
-    """A pattern that each line run with ``LEAST_SHARE`` of a template has."""
-    words = sorted({w for words in _template_words() for w in words} - _WEAK)
-    return rf"{_ANCHORS}|\b(?:{'|'.join(map(re.escape, words))})\b"
+    """A pattern that each line run with ``LEAST_SHARE`` of a template has in lower case, and each
+    text with one of ``_ANCHORS``."""
+    words = {w for words in _template_words() for w in words} - _WEAK | {"cc by"}
+
+    def ahead(words: set[str]) -> str:
+        return f"(?=[{''.join(sorted({re.escape(w[0]) for w in words}))}]){_trie(words)}"
+
+    return rf"{ahead(set(_STEMS))}|\b{ahead(words)}\b"
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
 def _near(lines: Column, most: int) -> Column:
-    """The first of ``lines``, until one has no word or there are ``most`` words."""
+    """The first of ``lines``, arrays of words, until one has no word or there are ``most`` words."""
 
     def step(done: Column, line: Column) -> Column:
-        go = done["open"] & line.rlike(r"[\p{L}\p{N}]")
-        n = done["n"] + F.when(go, F.regexp_count(line, F.lit(_WORD))).otherwise(0)
+        go = done["open"] & (F.size(line) > 0)
+        n = done["n"] + F.when(go, F.size(line)).otherwise(0)
         kept = F.when(go, F.concat(done["kept"], F.array(line))).otherwise(done["kept"])
         return F.struct(kept.alias("kept"), n.alias("n"), (go & (n < most)).alias("open"))
 
-    begin = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+    nothing = F.array().cast("array<array<string>>")
+    begin = F.struct(nothing.alias("kept"), F.lit(0).alias("n"), F.lit(True).alias("open"))
     return F.aggregate(lines, begin, step, lambda done: done["kept"])
 
 
 def _runs(docs: DataFrame) -> DataFrame:
-    """``doc_id, line, alone, before, after`` for the lines near a word of ``_hints``; the lines before
-    (nearest first) and after are those of the paragraph within the words of the longest template."""
+    """``doc_id, line, text, alone, before, after, hot, hot_after`` for the lines near a word of ``_hints``.
+
+    ``alone`` has the words of the line, ``before`` (nearest first) and ``after`` the words of the lines of
+    the paragraph within the words of the longest template. ``hot`` says whether the line has a word of
+    ``_hints``, ``hot_after`` whether one of the lines after has. The words of a line are found once."""
     most = max(map(len, _template_words())) - 1
     hints = _hints()
     docs = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("_text"))
-    docs = docs.where(F.col("_text").rlike(hints)).select("doc_id", F.split("_text", "\n", -1).alias("_lines"))
-    docs = docs.withColumn("_hot", F.transform("_lines", lambda line: line.rlike(hints)))
+    docs = docs.select("doc_id", F.split("_text", "\n", -1).alias("_lines"))
+    hot = F.transform("_lines", lambda line: F.lower(line).rlike(hints))
+    docs = docs.select("doc_id", F.inline(F.array(F.struct("_lines", hot.alias("_hot")))))
+    docs = docs.where(F.exists("_hot", lambda hot: hot))
+    docs = docs.select("doc_id", "_lines", "_hot", F.transform("_lines", _words).alias("_words"))
     at = F.filter(
         F.sequence(F.lit(0), F.size("_lines") - 1),
-        lambda i: F.exists(F.slice("_hot", i + 1, F.lit(most + 1)), lambda hot: hot),
+        lambda i: (F.size(F.get("_words", i)) > 0)
+        & F.exists(F.slice("_hot", i + 1, F.lit(most + 1)), lambda hot: hot),
     )
-    docs = docs.select("doc_id", "_lines", F.explode(at).alias("line"))
-    first = F.greatest(F.col("line") - most, F.lit(0))
-    before = F.reverse(F.slice("_lines", first + 1, F.col("line") - first))
-    return docs.select(
-        "doc_id",
-        "line",
-        F.col("_lines")[F.col("line")].alias("alone"),
-        _near(before, most).alias("before"),
-        _near(F.slice("_lines", F.col("line") + 2, F.lit(most)), most).alias("after"),
-    ).where(F.col("alone").rlike(r"[\p{L}\p{N}]"))
+
+    # Rows leave the text with the lines around them only, so a long text isn't copied for each line.
+    def around(i: Column) -> Column:
+        first = F.greatest(i - most, F.lit(0))
+        after = _near(F.slice("_words", i + 2, F.lit(most)), most)
+        return F.struct(
+            i.alias("line"),
+            F.get("_lines", i).alias("text"),
+            F.get("_words", i).alias("alone"),
+            _near(F.reverse(F.slice("_words", first + 1, i - first)), most).alias("before"),
+            after.alias("after"),
+            F.get("_hot", i).alias("hot"),
+            F.slice("_hot", i + 2, F.lit(most)).alias("following"),
+        )
+
+    found = docs.select("doc_id", F.explode(F.transform(at, around)).alias("_r")).select("doc_id", "_r.*")
+    hot_after = F.exists(F.slice("following", F.lit(1), F.size("after")), lambda hot: hot)
+    return found.withColumn("hot_after", hot_after).drop("following")
 
 
 def train(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
@@ -219,34 +254,35 @@ def license_notices(docs: DataFrame) -> DataFrame:
     def of_family(value) -> Column:
         return F.coalesce(*[F.when(F.col("_name") == name, value(name)) for name in names])
 
-    rest, others = F.array_join("after", " "), F.concat(F.reverse("before"), F.col("after"))
-    around = F.concat(F.reverse("before"), F.array("alone"), F.col("after"))
-    run = F.struct(F.lit(True).alias("run"), F.concat_ws(" ", F.col("alone"), rest).alias("paragraph"))
-    line = F.struct(F.lit(False).alias("run"), F.col("alone").alias("paragraph"))
-    both = F.when(F.size("after") > 0, F.array(line, run)).otherwise(F.array(line))
-    candidates = _runs(docs).withColumn("_c", F.explode(both)).select("*", "_c.*").drop("_c")
-    candidates = candidates.where(F.col("paragraph").rlike(_hints()))
-    scored = model.transform(_features(_with_grams(candidates)))
+    # Words of the line, of the lines after, of all others, and of all.
+    rest, others = F.flatten("after"), F.flatten(F.concat(F.reverse("before"), F.col("after")))
+    whole_run = F.flatten(F.concat(F.array("alone"), F.col("after")))
+    around = F.flatten(F.concat(F.reverse("before"), F.array("alone"), F.col("after")))
+    line = F.struct(F.lit(False).alias("run"), F.col("hot").alias("hot"), F.col("alone").alias("words"))
+    run_hot = (F.size("after") > 0) & (F.col("hot") | F.col("hot_after"))
+    run = F.struct(F.lit(True).alias("run"), run_hot.alias("hot"), whole_run.alias("words"))
+    # Generated columns are computed once for each row: filters on them are not pushed below, where they
+    # would be computed again for each use.
+    both = F.transform(
+        F.filter(F.array(line, run), lambda c: c["hot"]),
+        lambda c: F.struct(c["run"].alias("run"), _grams_of_words(c["words"]).alias("grams")),
+    )
+    candidates = _runs(docs).select("*", F.inline(both)).drop("hot", "hot_after")
+    scored = model.transform(_features(candidates))
     scored = scored.where(F.col("prediction") != _NONE).withColumn(
         "_name", F.get(F.array(*map(F.lit, names)), F.col("prediction").cast("int") - 1)
     )
-
-    def grams_of(text: Column) -> Column:
-        words = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
-        return _grams_of_words(words)
-
-    # Generated columns are computed once for each row: filters on them are not pushed below, where each
-    # template would compute the words again.
+    four = F.transform(F.array("alone", rest, others, around), _grams_of_words)
     found = {
         "probability": F.round(F.array_max(vector_to_array("probability")), 6),
         "_grams": F.col("grams"),
-        "_alone": grams_of(F.col("alone")),
-        "_rest": grams_of(rest),
-        "_others": grams_of(F.array_join(others, " ")),
-        "_around": grams_of(F.array_join(around, " ")),
+        "_alone": F.get(four, F.lit(0)),
+        "_rest": F.get(four, F.lit(1)),
+        "_others": F.get(four, F.lit(2)),
+        "_around": F.get(four, F.lit(3)),
     }
     found = F.explode(F.array(F.struct(*[value.alias(name) for name, value in found.items()])))
-    scored = scored.select("doc_id", "line", "run", "alone", "before", "after", "_name", found.alias("_found"))
+    scored = scored.select("doc_id", "line", "run", "text", "alone", "before", "_name", found.alias("_found"))
     scored = scored.select("*", "_found.*").drop("_found")
     share_of_family = F.round(of_family(lambda name: share(name, "_grams")), 6)
     scored = scored.select("*", F.explode(F.array(share_of_family)).alias("template_share"))
@@ -261,7 +297,7 @@ def license_notices(docs: DataFrame) -> DataFrame:
     enough = F.col("template_share") >= LEAST_SHARE
     whole = enough & (of_family(lambda x: share(x, "_rest")) < LEAST_SHARE)
     whole &= of_family(lambda x: share(x, "_alone")) < LEAST_SHARE
-    open_line = F.col("alone").rlike(_ANCHORS) & ~in_run
+    open_line = F.col("text").rlike(_ANCHORS) & ~in_run
     scored = scored.where(F.when(F.col("run"), whole).otherwise(enough | open_line))
 
     # Words at both sides of the line breaks before, nearest first.
@@ -270,9 +306,7 @@ def license_notices(docs: DataFrame) -> DataFrame:
         F.slice(ends, F.lit(1), F.size("before")),
         "before",
         lambda after, line: F.concat_ws(
-            " ",
-            F.try_element_at(F.regexp_extract_all(F.lower(line), F.lit(_WORD), F.lit(0)), F.lit(-1)),
-            F.try_element_at(F.regexp_extract_all(F.lower(after), F.lit(_WORD), F.lit(0)), F.lit(1)),
+            " ", F.try_element_at(line, F.lit(-1)), F.try_element_at(after, F.lit(1))
         ),
     )
 
