@@ -96,3 +96,21 @@ def test_offsets_are_dense_per_partition(spark):
         assert [r["offset"] for r in mine] == list(range(len(mine)))
         order = [(r["timestamp"], r["key"]) for r in mine]
         assert order == sorted(order)
+
+
+@pytest.mark.parametrize("start, stop", [(0, 3), (-3, -1), (-30, -1), (-4, 17), (-5, 2), (-9, -20), (5, -5), (30, 40)])
+@pytest.mark.parametrize("selected", [0, 100])
+def test_slices_are_the_same_by_selection_and_by_sorting(spark, monkeypatch, start, stop, selected):
+    monkeypatch.setattr(boards, "_SELECTED", selected)
+    scores = [(f"m{i}", float(i % 4)) for i in range(20)]
+    ranked = sorted(((s, m) for m, s in scores), reverse=True)
+    end = stop + 20 if stop < 0 else stop
+    want = [(i + 1, m, s) for i, (s, m) in enumerate(ranked) if max(start + 20 if start < 0 else start, 0) <= i <= end]
+    assert rows_of(boards.rank_slice(board(spark, scores), start, stop)) == want
+
+
+def test_a_slice_from_the_end_is_neither_sorted_nor_written(spark):
+    total = boards.running_totals(board(spark, [("a", 1.0), ("b", 2.0)]), "member", "score")
+    plan = boards.rank_slice(total, -1, -1)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+    assert boards.rank_slice(total.limit(0), -3, -1).count() == 0
