@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,15 +22,14 @@ CHECKPOINT_IDS = 64
 _MEMO = 600_000
 # So many places of runs (24 bytes each) go to all tasks; more are joined by their keys.
 _RUNS_SENT = 200_000
-_CUT = re.compile(r"(?<=[^\s\x1c-\x1f]) (?=[^\s\x1c-\x1f])")
 
 
 class ByteLevelEncoder(dict):
     """Ids of texts as little-endian 16-bit numbers, by the tokenizers library.
 
-    A text is cut at single spaces, where the vocabulary's pattern cuts as well, and each chunk's
-    ids are looked up here. For a new chunk the pattern's pieces go through the library's model.
-    Up to ``_MEMO`` chunks are remembered. A vocabulary of more than 65,536 ids raises.
+    A text is cut into the pieces of the vocabulary's pattern, and each piece's ids are looked up
+    here. A new piece goes through the library's model. Up to ``_MEMO`` pieces are remembered. A
+    vocabulary of more than 65,536 ids raises.
     """
 
     def __init__(self, path: str):
@@ -39,62 +37,31 @@ class ByteLevelEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError(f"{path}: ids do not fit 16 bits")
+        self.model = self.tokenizer.model
         self.pieces = finder(BYTE_LEVEL)
-        self.known: dict[str, bytes] = {}
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
 
-    def __missing__(self, chunk: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) >= _MEMO:
             self.clear()
-            self.known.clear()
-        # A space and ASCII letters are one piece.
-        if chunk.isascii() and chunk.removeprefix(" ").isalpha():
-            out = self.known.get(chunk) or self._new(chunk)
-        else:
-            out = b"".join([self.get(p) or self.known.get(p) or self._known(p) for p in self.pieces(chunk)])
-        self[chunk] = out
-        return out
-
-    def _known(self, piece: str) -> bytes:
-        out = self.known[piece] = self._new(piece)
-        return out
-
-    def _new(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return array("H", [token.id for token in self.tokenizer.model.tokenize(letters)]).tobytes()
-
-    def _plain(self, text: str) -> bytes:
-        """Ids of a text without special tokens. A run of spaces is one piece, so it isn't cut."""
-        if "  " in text or "\0" in text:
-            chunks = [text[a:b] for a, b in _between_runs(text)]
-        else:
-            chunks = text.replace(" ", "\0 ").split("\0")
-        return b"".join(map(self.__getitem__, chunks))
+        ids = self[piece] = array("H", [token.id for token in self.model.tokenize(letters)]).tobytes()
+        return ids
 
     def encode(self, text: str) -> bytes:
         for token, number in self.special.items():
             if token in text:
                 between = array("H", [number]).tobytes()
                 return between.join(map(self.encode, text.split(token)))
-        return self._plain(text)
+        return b"".join(map(self.__getitem__, self.pieces(text)))
 
 
-# Workers run many tasks; the chunks they know stay.
+# Workers run many tasks; the pieces they know stay.
 @functools.lru_cache(maxsize=1)
 def _encoder(path: str) -> ByteLevelEncoder:
     return ByteLevelEncoder(path)
 
 
-def _between_runs(text: str) -> Iterator[tuple[int, int]]:
-    """Bounds of chunks that start at a space after which another character comes, and whose
-    preceding character isn't white space."""
-    at = 0
-    for found in _CUT.finditer(text):
-        yield at, found.start()
-        at = found.start()
-    yield at, len(text)
-
-
 def code_lengths(counts: np.ndarray, most: int) -> np.ndarray:
     """Bits of the optimal prefix code with at most ``most`` bits for symbols with positive
     ``counts``, by package-merge: each level merges the symbols with pairs of the level before;
