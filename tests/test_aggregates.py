@@ -78,3 +78,28 @@ def test_nan_is_a_key(spark):
     rows = spark.createDataFrame([(float("nan"), 1), (2.0, 5), (float("nan"), 2)], "k double, v bigint")
     summed = aggregates.custom_agg(rows, "k", lambda: 0, lambda a, g: a + int(g["v"].sum()), lambda a, b: a + b, "bigint")
     assert sorted((str(r["k"]), r["acc"]) for r in summed.collect()) == [("2.0", 5), ("nan", 3)]
+
+
+def test_64_bits_are_exact_beside_null(spark):
+    big = 2**53 + 1
+    rows = spark.createDataFrame([("a", big), ("a", None), ("b", None), (None, 1)], "k string, v bigint").coalesce(1)
+
+    def add(acc, group):
+        seen = [int(v) for v in group["v"].dropna()] + ([] if acc is None else [acc])
+        return max(seen, default=None)
+
+    def merge(left, right):
+        return max([v for v in (left, right) if v is not None], default=None)
+
+    for parts in (1, 4):
+        got = aggregates.custom_agg(rows.repartition(parts), "k", lambda: None, add, merge, "bigint")
+        assert rows_of(got.orderBy("k")) == [("a", big), ("b", None)]
+
+
+def test_times_as_keys_and_values(spark):
+    rows = spark.sql(
+        "SELECT timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id % 2) AS t,"
+        " timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) AS v FROM range(6)"
+    )
+    latest = aggregates.custom_agg(rows, "t", lambda: 0, lambda a, g: max(a, int(g["v"].dt.hour.max())), max, "int")
+    assert rows_of(latest.select(F.hour("t"), "acc")) == [(0, 4), (1, 5)]

@@ -6,29 +6,33 @@ express, and folds before the shuffle as they do.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import StructType
 
 _KEYS_PER_TASK = 100_000
 _ROWS_AT_ONCE = 200_000
+_BYTES_AT_ONCE = 32_000_000
+
+# Whole numbers beside NULL would be doubles in plain pandas.
+_WHOLE = {
+    pa.int8(): pd.Int8Dtype(),
+    pa.int16(): pd.Int16Dtype(),
+    pa.int32(): pd.Int32Dtype(),
+    pa.int64(): pd.Int64Dtype(),
+}
 
 
 # One object, so that a dict finds it again; NaN is a key like any other.
 _NAN = float("nan")
 
 
-def _with_nan(df: DataFrame, key: str) -> DataFrame:
-    """Pandas hands NaN over as NULL; rows without a key are left out before, so it was NaN."""
-    kind = df.schema[key].dataType.simpleString()
-    if kind not in ("double", "float"):
-        return df
-    return df.withColumn(key, F.coalesce(F.col(f"`{key}`"), F.lit(float("nan")).cast(kind)))
-
-
 def fold_partials(
     df: DataFrame,
     key: str,
@@ -38,35 +42,58 @@ def fold_partials(
 ) -> DataFrame:
     """Fold the rows of each input task per key: columns ``key`` and ``acc``; batch or stream.
 
-    ``add`` gets the accumulator and the next rows of one key. A task collects
-    ``_ROWS_AT_ONCE`` rows before it groups them, and a task that meets many keys hands on what
-    it has and starts again, so its memory is bounded.
+    ``add`` gets the accumulator and the next rows of one key as pandas, whole numbers in its
+    nullable types, so that 64 bits are exact beside NULL as well. A task collects
+    ``_ROWS_AT_ONCE`` rows or ``_BYTES_AT_ONCE`` before it groups them, and a task that meets many
+    keys hands on what it has and starts again, so its memory is bounded.
     """
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    out = _arrow_schema(df, key, "acc", acc_type)
 
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accs: dict[Any, Any] = {}
-        for rows in in_blocks(frames):
+        for rows in in_blocks(batches):
             for value, group in rows.groupby(key, sort=False, dropna=False):
                 value = _NAN if value != value else value
                 accs[value] = add(accs[value] if value in accs else init(), group)
             if len(accs) > _KEYS_PER_TASK:
-                yield pd.DataFrame({key: list(accs.keys()), "acc": list(accs.values())})
+                yield _batch(out, accs.items())
                 accs = {}
-        yield pd.DataFrame({key: list(accs.keys()), "acc": list(accs.values())})
-
-    def in_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, rows = [], 0
-        for frame in frames:
-            block.append(frame)
-            rows += len(frame)
-            if rows >= _ROWS_AT_ONCE:
-                yield pd.concat(block, ignore_index=True)
-                block, rows = [], 0
+        yield _batch(out, accs.items())
+
+    def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        block, rows, size = [], 0, 0
+        for batch in batches:
+            block.append(batch)
+            rows += batch.num_rows
+            size += batch.nbytes
+            if rows >= _ROWS_AT_ONCE or size >= _BYTES_AT_ONCE:
+                yield as_pandas(block)
+                block, rows, size = [], 0, 0
         if block:
-            yield pd.concat(block, ignore_index=True)
+            yield as_pandas(block)
+
+    def as_pandas(block: list[pa.RecordBatch]) -> pd.DataFrame:
+        frame = pa.Table.from_batches(block).to_pandas(types_mapper=_WHOLE.get)
+        # Times of the session's zone, as Spark hands them to pandas.
+        for name in frame.select_dtypes("datetimetz").columns.difference([key]):
+            frame[name] = frame[name].dt.tz_convert(zone).dt.tz_localize(None)
+        return frame
 
     key_type = df.schema[key].dataType.simpleString()
-    return _with_nan(df.mapInPandas(fold, f"`{key}` {key_type}, acc {acc_type}"), key)
+    return df.mapInArrow(fold, f"`{key}` {key_type}, acc {acc_type}")
+
+
+def _arrow_schema(df: DataFrame, key: str, result: str, acc_type: str) -> pa.Schema:
+    acc = StructType.fromDDL(f"acc {acc_type}")["acc"].dataType
+    types = {key: df.schema[key].dataType, result: acc}
+    return pa.schema([(name, to_arrow_type(kind)) for name, kind in types.items()])
+
+
+def _batch(schema: pa.Schema, rows: Iterable[tuple[Any, Any]]) -> pa.RecordBatch:
+    keys, accs = zip(*rows) if rows else ((), ())
+    columns = [pa.array(values, kind) for values, kind in zip((keys, accs), schema.types)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def custom_agg(
@@ -86,24 +113,26 @@ def custom_agg(
     """
     partials = fold_partials(df.filter(F.col(key).isNotNull()), key, init, add, acc_type)
 
-    def merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out = _arrow_schema(df, key, result, acc_type)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member, total = None, None
-        for frame in frames:
+        for batch in batches:
             done: list[tuple[Any, Any]] = []
-            for value, acc in zip(frame[key].tolist(), frame["acc"].tolist()):
+            for value, acc in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if value == member or (value != value and member != member):
                     total = merge(total, acc)
                     continue
                 if member is not None:
                     done.append((member, total))
                 member, total = value, acc
-            yield pd.DataFrame(done, columns=[key, result])
+            yield _batch(out, done)
         if member is not None:
-            yield pd.DataFrame([(member, total)], columns=[key, result])
+            yield _batch(out, [(member, total)])
 
     key_type = df.schema[key].dataType.simpleString()
     by_key = partials.repartition(key).sortWithinPartitions(key)
-    return _with_nan(by_key.mapInPandas(merged, f"`{key}` {key_type}, `{result}` {acc_type}"), key)
+    return by_key.mapInArrow(merged, f"`{key}` {key_type}, `{result}` {acc_type}")
 
 
 def custom_agg_stream(
@@ -118,7 +147,8 @@ def custom_agg_stream(
     """Running accumulator per key of a stream, for ``update`` mode.
 
     The same fold before the shuffle; the state store keeps one accumulator per key, and every
-    micro-batch gives the new value of the keys it touched.
+    micro-batch gives the new value of the keys it touched. Accumulators here should not be NULL: a
+    64-bit one that reaches a task beside a NULL goes through a double.
     """
     partials = fold_partials(df.filter(F.col(key).isNotNull()), key, init, add, acc_type)
     # Column names that start with an underscore would be lost on the way to the processor.

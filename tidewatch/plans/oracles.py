@@ -244,5 +244,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM orders WHERE o_orderkey > 100""",
     "high_mark": "SELECT coalesce(max(o_orderkey), 0) AS latest_id FROM orders",
     "custom_agg": _TOTAL_MINUTES,
+    "custom_agg_longest": """
+        SELECT source, text AS longest FROM documents WHERE source IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY source ORDER BY length(text) DESC NULLS LAST, text DESC) = 1""",
     "custom_agg_stream": _TOTAL_MINUTES,
 }

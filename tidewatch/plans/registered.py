@@ -7,6 +7,7 @@ available and return the table their sink wrote.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Callable
 
@@ -507,6 +508,20 @@ def custom_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.custom_agg(good.select("user", "minutes"), "user", **_minutes_accumulator())
 
 
+def custom_agg_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest text of each source; of texts of one length the greatest. No built-in twin."""
+
+    def longer(left: str | None, right: str | None) -> str | None:
+        texts = [text for text in (left, right) if text is not None]
+        return max(texts, key=lambda text: (len(text), text), default=None)
+
+    def add(acc: str | None, rows: pd.DataFrame) -> str | None:
+        return functools.reduce(longer, rows["text"].dropna(), acc)
+
+    docs = tables.table(spark, sf_dir, "documents").select("source", "text")
+    return aggregates.custom_agg(docs, "source", lambda: None, add, longer, "string", result="longest")
+
+
 def custom_agg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = split_good_bad(codecs.decode_views(_views(spark, sf_dir, stream=True)))
     rows = good.select("user", "minutes")
@@ -568,5 +583,6 @@ QUERIES: dict[str, Query] = {
     "sink_report": sink_report,
     "high_mark": high_mark,
     "custom_agg": custom_agg,
+    "custom_agg_longest": custom_agg_longest,
     "custom_agg_stream": custom_agg_stream,
 }
