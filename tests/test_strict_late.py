@@ -6,6 +6,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
+from tests.check_oracles import compare
 from tests.helpers import feed, records, rows_of, topic, unique
 from tests.test_windows import LATE_A, LATE_B
 from tidewatch.operators.strict_late import strict_flags
@@ -18,6 +20,9 @@ from tidewatch.streaming.store import Store
 from tidewatch.streaming.strict_windows import StrictWindows
 
 
+SF_DIR = "/root/testdata/sf0.001"
+
+
 def brute_force(rows, size, grace=0):
     """Accepted flags of ``(key, value, seconds, partition, offset)`` rows, one by one."""
     newest, accepted = {}, {}
@@ -116,6 +121,37 @@ def test_an_idle_partition_does_not_hold_back_the_others(spark):
     assert rows_of(counts.select("partition", "n", "dropped")) == [(0, 3, 0), (1, 2, 1)]
 
 
+def test_partitions_without_a_record_so_far_hold_back_the_others(spark):
+    """Partition 1 is first heard of in the second micro-batch; with ``idle`` it is waited for that long."""
+    batches = [
+        [("a", "1", 1.0, 0), ("a", "1", 100.0, 0)],
+        [("a", "10", 2.0, 1), ("a", "10", 100.0, 1)],
+        [("a", "1", 200.0, 0)],
+    ]
+    for idle in (None, "50 seconds"):
+        results, counts = strict(topic(spark, batches), partitions=[0, 1], idle=idle)
+        assert starts(results)[0] == (0, 11)
+        assert [r["dropped"] for r in counts.collect()] == [0, 0]
+    results, _ = strict(topic(spark, [batches[0], batches[2]]), partitions=[0, 1])
+    assert starts(results) == []
+    results, _ = strict(topic(spark, [batches[0], batches[2]]), partitions=[0, 1], idle="50 seconds")
+    assert starts(results) == [(0, 1), (100, 1)]
+
+
+@pytest.mark.parametrize(
+    "name", ["fan_out", "late_rejects_batches", "order_window_summary_batches", "user_minutes_strict_batches"]
+)
+def test_queries_over_micro_batches_that_lack_partitions(spark, name):
+    """Larger tables are not put together into one file a range, which this setting shows on small ones."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        _, difference = compare(spark, entry_points.queries()[name], entry_points.oracle_sql()[name], SF_DIR)
+    finally:
+        spark.conf.unset(setting)
+    assert difference == ""
+
+
 def test_windows_go_on_after_a_stop(spark):
     path, store_path = fresh_dir(spark, "topic"), fresh_dir(spark, "strict")
     progress = NamedQuery.fresh(spark, unique("strict-restart"))

@@ -3,7 +3,8 @@
 Sources are envelope streams. ``publish`` makes a topic writer, for instance
 ``lambda records, topic: to_kafka(records, servers, topic)``; ``write`` is a micro-batch
 sink such as ``to_jdbc`` or ``batch_table``. Programs return the started query; ``every`` is the
-trigger interval, none processes what is available and ends.
+trigger interval, none processes what is available and ends. ``partitions`` names the partitions of
+the topic, which the strict rule for late records waits for; see ``streaming.strict_windows``.
 
 Programs with two outputs are one query: each micro-batch is read and decoded once, its outputs go
 into one committed store, and a repeated micro-batch changes none of them.
@@ -11,7 +12,7 @@ into one committed store, and a repeated micro-batch changes none of them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -55,9 +56,10 @@ def order_analytics(
     on_error: str = "dead_letter",
     late: str = WATERMARK,
     idle: str | None = None,
+    partitions: Sequence[int] | None = None,
 ) -> StreamingQuery:
     """Order value per product and window into a table. With ``late="strict"`` open windows are kept
-    in a store next to the checkpoint; ``idle`` is for that rule only."""
+    in a store next to the checkpoint; ``idle`` and ``partitions`` are for that rule only."""
     if late != STRICT:
         summary = patterns.order_summary(orders, size, grace, on_error, late)
         return progress.start(_to(summary, write, "append"), orders.sparkSession, every)
@@ -66,7 +68,7 @@ def order_analytics(
     def then(closed: DataFrame, store) -> None:
         write(patterns.as_order_summary(closed), store.newest.version + 1)
 
-    windows = StrictWindows(size, ["product"], patterns.order_value(), grace, idle, then=then)
+    windows = StrictWindows(size, ["product"], patterns.order_value(), grace, idle, then=then, partitions=partitions)
     return into_store(good, f"{progress.checkpoint}-windows", progress, every, windows)
 
 
@@ -81,6 +83,7 @@ def alerting(
     on_error: str = "dead_letter",
     idle: str | None = None,
     publish: Callable[[DataFrame, str], None] | None = None,
+    partitions: Sequence[int] | None = None,
 ) -> StreamingQuery:
     """Critical alerts and high-volume codes, each a topic table of the store at ``path``.
 
@@ -100,7 +103,7 @@ def alerting(
     def then(closed: DataFrame, store) -> None:
         put(patterns.as_high_volume(closed, threshold), patterns.HIGH_VOLUME_TOPIC, store)
 
-    windows = StrictWindows(size, ["code"], {}, grace, idle, name="code-counts", then=then)
+    windows = StrictWindows(size, ["code"], {}, grace, idle, name="code-counts", then=then, partitions=partitions)
     return into_store(good, path, progress, every, critical, windows)
 
 
@@ -137,6 +140,7 @@ def view_analytics(
     grace: str = "0 seconds",
     on_error: str = "dead_letter",
     idle: str | None = None,
+    partitions: Sequence[int] | None = None,
 ) -> StreamingQuery:
     """Minutes per user and window, and a board of the most viewed topics, in the store at ``path``:
     table ``MINUTES`` and ``sinks.read_board``. Windows follow the strict rule for late records."""
@@ -145,5 +149,5 @@ def view_analytics(
     def then(closed: DataFrame, store) -> None:
         store.put(MINUTES, patterns.as_user_minutes(closed))
 
-    windows = StrictWindows(size, ["user"], patterns.view_minutes(), grace, idle, then=then)
+    windows = StrictWindows(size, ["user"], patterns.view_minutes(), grace, idle, then=then, partitions=partitions)
     return into_store(good, path, progress, every, windows, running_board("view_topic", F.lit(1)))

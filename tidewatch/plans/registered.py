@@ -44,18 +44,18 @@ PARTS = 8
 FILES_PER_TRIGGER = 2
 
 
-def _in_parts(records: DataFrame, consume: Callable[[DataFrame], None]) -> None:
-    """Publish records in ranges of offsets; ``consume`` gets the topic after half of them, and again
-    after all."""
+def _in_parts(records: DataFrame, consume: Callable[[DataFrame, list[int]], None]) -> None:
+    """Publish records in ranges of offsets; ``consume`` gets the topic and its partitions after half
+    of them, and again after all."""
     spark = records.sparkSession
-    first, last = records.agg(F.min("offset"), F.max("offset")).first()
+    first, last, partitions = records.agg(F.min("offset"), F.max("offset"), F.collect_set("partition")).first()
     first, last = first or 0, last or 0
     cuts = [first + (last + 1 - first) * i // PARTS for i in range(PARTS + 1)]
     ranges = list(itertools.pairwise(cuts))
     path = fresh_dir(spark, "topic")
     for part in (ranges[: PARTS // 2], ranges[PARTS // 2 :]):
         publish_ranges(records, path, F.col("offset"), part)
-        consume(from_directory(spark, path, FILES_PER_TRIGGER))
+        consume(from_directory(spark, path, FILES_PER_TRIGGER), partitions)
 
 
 # Topics derived from the tables
@@ -262,8 +262,8 @@ def _good_views(views: DataFrame) -> DataFrame:
     return split_good_bad(codecs.decode_views(views))[0]
 
 
-def _strict_windows() -> StrictWindows:
-    return StrictWindows(LATE_WINDOW, ["user"], patterns.view_minutes())
+def _strict_windows(partitions: list[int] | None = None) -> StrictWindows:
+    return StrictWindows(LATE_WINDOW, ["user"], patterns.view_minutes(), partitions=partitions)
 
 
 def _per_partition(windows: StrictWindows, store: Store) -> DataFrame:
@@ -302,13 +302,13 @@ def user_minutes_strict_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _strict_in_parts(spark: SparkSession, sf_dir: str, name: str) -> tuple[StrictWindows, Store]:
     """The strict rule over several micro-batches, with a stop half way."""
-    windows, path, progress = _strict_windows(), fresh_dir(spark, name), NamedQuery.fresh(spark, name)
+    path, progress = fresh_dir(spark, name), NamedQuery.fresh(spark, name)
 
-    def consume(views: DataFrame) -> None:
-        finish(programs.into_store(_good_views(views), path, progress, None, windows))
+    def consume(views: DataFrame, partitions: list[int]) -> None:
+        finish(programs.into_store(_good_views(views), path, progress, None, _strict_windows(partitions)))
 
     _in_parts(_shifted_views(spark, sf_dir), consume)
-    return windows, Store(spark, path)
+    return _strict_windows(), Store(spark, path)
 
 
 def late_rejects_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,17 +322,19 @@ def user_minutes_strict_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_window_summary_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = StrictWindows(patterns.ORDER_WINDOW, ["product"], patterns.order_value())
     path, progress = fresh_dir(spark, "order-parts"), NamedQuery.fresh(spark, "order-window-summary-batches")
 
-    def consume(orders: DataFrame) -> None:
+    def windows(partitions: list[int] | None = None) -> StrictWindows:
+        return StrictWindows(patterns.ORDER_WINDOW, ["product"], patterns.order_value(), partitions=partitions)
+
+    def consume(orders: DataFrame, partitions: list[int]) -> None:
         good, _ = split_good_bad(codecs.decode_orders(orders))
-        finish(programs.into_store(good, path, progress, None, windows))
+        finish(programs.into_store(good, path, progress, None, windows(partitions)))
 
     _in_parts(assign_offsets(_orders(spark, sf_dir), ["key", "value"]), consume)
     store = Store(spark, path)
-    windows.publish_rest(store)
-    return _rounded(patterns.as_order_summary(windows.results(store)))
+    windows().publish_rest(store)
+    return _rounded(patterns.as_order_summary(windows().results(store)))
 
 
 def append_sink_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,7 +360,7 @@ def append_sink_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     write = sinks.append_missing(commits, ["key"], there, append)
 
-    def consume(alerts: DataFrame) -> None:
+    def consume(alerts: DataFrame, _: list[int]) -> None:
         records = patterns.critical_alerts(alerts)
         for attempt in range(2):
             try:
@@ -375,7 +377,12 @@ def append_sink_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Critical alerts and codes of high volume, by one query over several micro-batches."""
     path, progress = fresh_dir(spark, "alerting"), NamedQuery.fresh(spark, "fan-out")
-    _in_parts(_alerts(spark, sf_dir), lambda alerts: finish(programs.alerting(alerts, path, progress, size="1 hour", threshold=0)))
+
+    def consume(alerts: DataFrame, partitions: list[int]) -> None:
+        options = {"size": "1 hour", "threshold": 0, "partitions": partitions}
+        finish(programs.alerting(alerts, path, progress, **options))
+
+    _in_parts(_alerts(spark, sf_dir), consume)
     store = Store(spark, path)
     topics = [
         store.read(topic, "key string, value string").select(F.lit(topic).alias("topic"), "key", "value")
@@ -403,7 +410,7 @@ def leaderboard_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, progress = fresh_dir(spark, "leaderboard"), NamedQuery.fresh(spark, "leaderboard-batches")
     write = sinks.board_table(path, fold_every=3)
 
-    def consume(scores: DataFrame) -> None:
+    def consume(scores: DataFrame, _: list[int]) -> None:
         run_batches(patterns.player_totals(scores), progress.name, write, "update", progress)
 
     _in_parts(_scores(spark, sf_dir), consume)
@@ -417,7 +424,7 @@ def periodic_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     def keep(ranking: DataFrame, batch_id: int) -> None:
         ranking.write.mode("overwrite").parquet(path)
 
-    def consume(scores: DataFrame) -> None:
+    def consume(scores: DataFrame, _: list[int]) -> None:
         finish(sinks.report_board(patterns.player_totals(scores), progress, keep, every=None))
 
     _in_parts(_scores(spark, sf_dir), consume)

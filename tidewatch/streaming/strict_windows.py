@@ -7,6 +7,8 @@ times of before as a carry, and only its partial sums meet the open windows.
 A window is final once no source partition can still add to it: the low water, the oldest of the
 partitions' newest times, has reached its end plus grace. A partition that lags behind the newest
 by more than ``idle`` does not hold the others back; without ``idle`` every known partition does.
+Partitions are known from ``partitions``, or else from their first record. A micro-batch need not
+have records of all of them, so without ``partitions`` the first one may publish too early.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ class StrictWindows:
 
     ``sums`` are columns of the batch. Rows without a key leave before the rule, as on a batch. Rows for
     a window that has been published, which only ``idle`` or a partition that was not known makes
-    possible, count as dropped. ``then`` gets the windows that a micro-batch closes, before its commit.
+    possible, count as dropped. One of ``partitions`` without a record so far is taken to be where the
+    first micro-batch was. ``then`` gets the windows that a micro-batch closes, before its commit.
     """
 
     def __init__(
@@ -41,9 +44,11 @@ class StrictWindows:
         name: str = "windows",
         chunk_rows: int = CHUNK_ROWS,
         then: Callable[[DataFrame, Store], None] | None = None,
+        partitions: Sequence[int] | None = None,
     ):
         self.size, self.keys, self.sums, self.grace = size, list(keys), dict(sums), grace
         self.idle, self.name, self.chunk_rows, self.then = idle, name, chunk_rows, then
+        self.partitions = sorted(set(partitions or []))
 
     def __call__(self, batch: DataFrame, store: Store) -> dict:
         rows = batch
@@ -77,14 +82,15 @@ class StrictWindows:
             F.max("newest").alias("newest"), F.sum("n").alias("n"), F.sum("dropped").alias("dropped")
         )
         frontier = store.put(f"{self.name}-frontier", frontier)
-        limit = max(self._low_water(frontier), published)
+        low, since = self._low_water(frontier, (store.newest.notes.get(self.name) or {}).get("since"))
+        limit = max(low, published)
         fresh = partials.where("is_in").select("window", *self.keys, "n", *self.sums)
         # Sums keep the type they have on a batch, however often they are added up again.
         kinds = {f.name: f.dataType for f in fresh.schema}
         open_before = self._open(store, fresh.schema)
         self._close(store, open_before.union(fresh), kinds, limit)
         self._forget(store)
-        return {self.name: {"published": limit, "schema": fresh.schema.json()}}
+        return {self.name: {"published": limit, "since": since, "schema": fresh.schema.json()}}
 
     def publish_rest(self, store: Store) -> None:
         """Say that every source partition is idle: all windows up to the newest time are final.
@@ -125,15 +131,21 @@ class StrictWindows:
         """When a window is final, in microseconds."""
         return F.unix_micros(F.col("window.end") + F.expr(f"INTERVAL {self.grace}"))
 
-    def _low_water(self, frontier: DataFrame) -> int:
+    def _low_water(self, frontier: DataFrame, since: int | None) -> tuple[int, int | None]:
+        """The low water, and where it would have been after the first micro-batch (``since``, if known)."""
         newest = F.unix_micros("newest")
-        top = frontier.agg(F.max(newest).alias("top"))
-        alive = frontier.where(F.col("newest").isNotNull())
+        told = frontier.where(F.col("newest").isNotNull())
+        alive_from = F.unix_micros(F.max("newest") - F.expr(f"INTERVAL {self.idle or '0 seconds'}"))
+        heard = F.count(F.when(F.col("partition").isin(self.partitions), 1))
+        low, alive_from, heard = told.agg(F.min(newest), alive_from, heard).first()
+        if low is None:
+            return _NEVER, since
+        since = low if since is None else since
+        if heard < len(self.partitions) and (self.idle is None or since >= alive_from):
+            return _NEVER, since
         if self.idle is not None:
-            since = top.select(F.timestamp_micros("top") - F.expr(f"INTERVAL {self.idle}"))
-            alive = alive.where(F.col("newest") >= since.scalar())
-        low = alive.agg(F.min(newest)).first()[0]
-        return _NEVER if low is None else low
+            low = told.where(newest >= alive_from).agg(F.min(newest)).first()[0]
+        return low, since
 
     def _open(self, store: Store, schema: T.StructType) -> DataFrame:
         return store.version(self.name, schema, part="closed=false")
