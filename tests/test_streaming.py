@@ -227,6 +227,28 @@ def test_board_is_ranked_at_every_trigger(spark):
     ]
 
 
+def test_a_board_is_computed_once_a_trigger(spark):
+    """Range bounds are sampled from the board, and the state below it is not to be written twice."""
+    scores = topic(spark, [[("a", "3", 1.0)], [("b", "5", 2.0)]])
+    computed = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            computed.add(len(batch))
+            yield batch
+
+    totals = patterns.player_totals(scores).mapInPandas(counting, "member string, score double")
+    finish(sinks.report_board(totals, NamedQuery.fresh(spark, unique("once")), lambda *_: None, every=None), 120)
+    assert computed.value == 1 + 2
+
+
+def test_state_commits_changes_instead_of_snapshots(spark):
+    progress = NamedQuery.fresh(spark, unique("changelog"))
+    run_batches(patterns.player_totals(topic(spark, [[("a", "3", 1.0)]])), progress.name, lambda df, _: df.collect(), "update", progress)
+    files = [name for _, _, names in os.walk(progress.checkpoint) for name in names]
+    assert any(name.endswith(".changelog") for name in files)
+
+
 def test_interval_trigger_and_stop(spark):
     seen = []
     writer = topic(spark, [[("a", "3", 1.0)]]).writeStream.foreachBatch(lambda df, i: seen.append(df.count()))

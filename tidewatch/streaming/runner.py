@@ -14,6 +14,9 @@ from tidewatch.scratch import fresh_dir
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# With a changelog, a state partition commits what a micro-batch changed instead of a snapshot of its files.
+_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
 
 @contextlib.contextmanager
 def _stream_settings(spark: SparkSession) -> Iterator[None]:
@@ -22,7 +25,7 @@ def _stream_settings(spark: SparkSession) -> Iterator[None]:
     State lives in RocksDB, off the heap and on disk. The number of state partitions is the
     session's number of shuffle partitions when a checkpoint is first used.
     """
-    settings = {"spark.sql.streaming.stateStore.providerClass": STATE_PROVIDER}
+    settings = {"spark.sql.streaming.stateStore.providerClass": STATE_PROVIDER, _CHANGELOG: "true"}
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)

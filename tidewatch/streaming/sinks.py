@@ -199,11 +199,17 @@ def report_board(
     """Rank a streaming board at every trigger and hand the ranking, a batch, to ``report``.
 
     The ranking is kept next to the checkpoint until two triggers later, so that a report may be
-    read a little longer.
+    read a little longer. A board is computed once a trigger, although the ranges of the ranking are
+    sampled first.
     """
 
     def rank(board: DataFrame, batch_id: int) -> None:
-        report(rank_desc(board, f"{progress.checkpoint}-ranking-{batch_id % 3}"), batch_id)
+        board = board.persist()
+        try:
+            ranking = rank_desc(board, f"{progress.checkpoint}-ranking-{batch_id % 3}")
+        finally:
+            board.unpersist()
+        report(ranking, batch_id)
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(rank)
     return progress.start(writer, totals.sparkSession, every)
