@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import zlib
 
@@ -138,6 +139,14 @@ def test_substring_dedup_cuts_hot_passages(spark, rows):
     assert found == want
 
 
+def test_substring_dedup_writes_no_words_of_copies(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidewatch.scratch.scratch_root", lambda _: str(tmp_path))
+    source = "/root/testdata/sf0.01"
+    registered.op3_substring_dedup(spark, source).collect()
+    kept = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert 0 < kept < 0.7 * os.path.getsize(f"{source}/documents.parquet")
+
+
 def test_token_files(spark, rows, odd, empty):
     tokenizer, start = Tokenizer.from_file(BYTE), 0
     got = run(spark, "op4_")

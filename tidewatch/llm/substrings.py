@@ -3,18 +3,20 @@
 Each window of ``SPAN`` consecutive words has one anchor, the smallest hash among the shorter
 grams inside it, so equal windows have equal anchors at equal places. Consecutive windows of a
 document that share an anchor position form a piece. All occurrences of a window lie in pieces
-with the same anchor, and pieces whose anchor occurs once cannot repeat anything.
+with the same anchor, and pieces whose anchor occurs once cannot repeat anything. A piece whose
+words occur earlier as a piece repeats all its windows; so only first occurrences are left, and
+of these only the ones whose anchor has others beside it.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.llm.words import signed, windows_of, word_hashes, words_of
 from tidewatch.scratch import written
@@ -22,11 +24,13 @@ from tidewatch.scratch import written
 SPAN = 20
 _GRAM = 8
 
-_PLACE_SCHEMA = "part bigint, name bigint, doc_id bigint, copy bigint, start bigint, windows bigint"
-_PIECE_SCHEMA = f"{_PLACE_SCHEMA}, words binary"
-_PIECE = ["part", "name", "doc_id", "copy", "start", "windows", "words"]
-_PASSAGE = ["part", "name", "first_doc", "first_start", "words"]
-_ALONE = 20_000
+_PLACE_SCHEMA = "part bigint, name bigint, doc_id bigint, start bigint, windows bigint"
+_PLACE = ["part", "name", "doc_id", "start", "windows"]
+_PASSAGE = [*_PLACE, "words"]
+_LISTED = ["start", "windows", "name", "part"]
+_REMOVED_SCHEMA = "doc_id bigint, start bigint, windows bigint, name bigint, mask bigint"
+_COPY, _FIRST, _HOT = 0, 1, 2
+_ROWS = 1 << 16
 
 
 def _name(part: bytes) -> int:
@@ -122,147 +126,206 @@ def pieces_of(ids: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.nda
     return grams[at[starts]], starts, np.diff(np.r_[starts, len(at)])
 
 
-def _anchors(docs: DataFrame, span: int, gram: int) -> DataFrame:
-    """One row for each distinct anchor of a document and how often it occurs there (2 stands
-    for more)."""
+def _spelt(text: str) -> tuple[bytes, np.ndarray]:
+    """The words of a text joined by one space, and where each and the one after the last start."""
+    joined = b" ".join(words_of(text))
+    if not joined:
+        return joined, np.zeros(1, np.int64)
+    spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+    return joined, np.concatenate([[0], spaces + 1, [len(joined) + 1]])
+
+
+def _pieces(docs: DataFrame, span: int, gram: int) -> DataFrame:
+    """The pieces of all documents, without their words; ``part`` is the anchor and ``name`` a hash
+    of the words."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            columns = {"doc_id": [], "anchor": [], "times": []}
+            columns = {name: [] for name in _PLACE}
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                found, _, _ = pieces_of(word_hashes(text), span, gram)
-                found, times = np.unique(found, return_counts=True)
-                columns["doc_id"].append(np.full(len(found), doc_id))
-                columns["anchor"].append(signed(found))
-                columns["times"].append(np.minimum(times, 2))
-            if len(batch):
+                found, starts, windows = pieces_of(word_hashes(text), span, gram)
+                if not len(found):
+                    continue
+                joined, at = _spelt(text)
+                ends = at[starts + windows + span - 1] - 1
+                own = [_name(joined[a:b]) for a, b in zip(at[starts].tolist(), ends.tolist())]
+                columns["part"].append(signed(found))
+                columns["name"].append(np.array(own, np.int64))
+                columns["doc_id"].append(np.full(len(own), doc_id))
+                columns["start"].append(starts)
+                columns["windows"].append(windows)
+            if columns["part"]:
                 yield pd.DataFrame({name: np.concatenate(parts) for name, parts in columns.items()})
 
-    return docs.mapInPandas(each, "doc_id bigint, anchor bigint, times bigint")
+    return docs.mapInPandas(each, _PLACE_SCHEMA)
+
+
+def _runs(rows: np.ndarray) -> np.ndarray:
+    """Where each run of equal columns starts."""
+    if not rows.shape[1]:
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0)))
+
+
+def _judged(places: DataFrame, hot_passages: int) -> DataFrame:
+    """The places whose part occurs again, with what they are as ``kind``: a copy of a passage that
+    starts earlier, or the first occurrence of a passage among at most ``hot_passages`` of its part
+    (``_FIRST``) or more (``_HOT``). The only passage of its part is left out where it is first.
+
+    Rows arrive sorted and are judged in bounded chunks, however many of them belong to one part.
+    """
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= _ROWS:
+                yield np.stack([c.to_numpy() for c in pa.Table.from_batches(held).columns])
+                held, size = [], 0
+        if size:
+            yield np.stack([c.to_numpy() for c in pa.Table.from_batches(held).columns])
+
+    def told(rows: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in (*rows, kind.astype(np.int32))], names=[*_PLACE, "kind"]
+        )
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = waiting = np.empty((len(_PLACE), 0), np.int64)  # passage and firsts of an open part
+        hot = None  # the open part, if it is known to have too many passages
+
+        def settled(firsts: np.ndarray) -> pa.RecordBatch:
+            runs = _runs(firsts[:1])
+            sizes = np.diff(np.append(runs, firsts.shape[1]))
+            many = sizes > hot_passages
+            if hot is not None and len(runs):
+                many[0] |= firsts[0, 0] == hot
+            kind = np.where(many, _HOT, np.where(sizes > 1, _FIRST, _COPY)).repeat(sizes)
+            return told(firsts[:, kind != _COPY], kind[kind != _COPY])
+
+        for rows in chunks(batches):
+            rows = np.hstack([current, rows])
+            runs = _runs(rows[:2])
+            first = rows[2:4, runs].repeat(np.diff(np.append(runs, rows.shape[1])), axis=1)
+            again = (rows[2:4] != first).any(axis=0)
+            yield told(rows[:, again], np.full(again.sum(), _COPY))
+            waiting = np.hstack([waiting, rows[:, runs[current.shape[1] :]]])
+            current = rows[:, runs[-1:]]
+            still = waiting.shape[1] and waiting[0] == current[0, 0]
+            if not np.any(still):
+                yield settled(waiting)
+                waiting = waiting[:, :0]
+                continue
+            yield settled(waiting[:, ~still])
+            waiting = waiting[:, still]
+            if waiting.shape[1] > hot_passages or hot == current[0, 0]:
+                hot = current[0, 0]
+                yield settled(waiting)
+                waiting = waiting[:, :0]
+        yield settled(waiting)
+
+    by_part = places.repartition("part").sortWithinPartitions("part", "name", "doc_id", "start")
+    return by_part.mapInArrow(each, f"{_PLACE_SCHEMA}, kind int")
+
+
+def _of_kind(kind: int) -> Column:
+    return F.filter("places", lambda place: place["kind"] == kind)
+
+
+def _held(text: str, places: list[tuple], span: int) -> Iterator[tuple[tuple, bytes]]:
+    """Those of ``places`` (start, windows, name, ...) that are in the text, with their words.
+    Another text under the same doc_id may be meant."""
+    joined, at = _spelt(text)
+    at = at.tolist()
+    for place in places:
+        start, end = place[0], place[0] + place[1] + span - 1
+        if end < len(at):
+            part = joined[at[start] : at[end] - 1]
+            if _name(part) == place[2]:
+                yield place, part
 
 
-def _pieces(docs: DataFrame, span: int, gram: int, with_words: bool) -> DataFrame:
-    """The pieces of documents whose anchor is in ``repeated``; ``name`` is a hash of the words."""
+def _listed(marked: DataFrame, kind: int) -> DataFrame:
+    """The documents with places of a kind, and these as one list for each field."""
+    chosen = marked.select("doc_id", "text", _of_kind(kind).alias("places")).where(F.size("places") > 0)
+    return chosen.select("doc_id", "text", *[F.col(f"places.{c}").alias(c) for c in _LISTED])
+
+
+def _zipped(lists: list[np.ndarray]) -> list[tuple]:
+    return list(zip(*[values.tolist() for values in lists]))
+
+
+def _passages(marked: DataFrame, span: int) -> DataFrame:
+    """The first occurrences that have to be compared, with their words."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            columns = {name: [] for name in _PIECE[:-1]}
-            parts = []
-            for doc_id, copy, text, repeated in zip(*[batch[c] for c in ("doc_id", "copy", "text", "repeated")]):
-                words = words_of(text)
-                found, starts, windows = pieces_of(word_hashes(text), span, gram)
-                found = signed(found)
-                chosen = np.isin(found, np.asarray(repeated, np.int64))
-                found, starts, windows = found[chosen], starts[chosen], windows[chosen]
-                joined = b" ".join(words)
-                at = np.zeros(len(words) + 1, np.int64)
-                np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=at[1:])
-                ends = at[starts + windows + span - 1] - 1
-                own = [joined[a:b] for a, b in zip(at[starts].tolist(), ends.tolist())]
-                columns["part"].append(found)
-                columns["name"].append(np.fromiter(map(_name, own), np.int64, len(own)))
-                columns["doc_id"].append(np.full(len(own), doc_id))
-                columns["copy"].append(np.full(len(own), copy))
-                columns["start"].append(starts)
-                columns["windows"].append(windows)
-                if with_words:
-                    parts += own
-            if len(batch):
-                out = pd.DataFrame({name: np.concatenate(values) for name, values in columns.items()})
-                yield out.assign(words=parts) if with_words else out
+            rows = []
+            for doc_id, text, *places in zip(*[batch[c] for c in ("doc_id", "text", *_LISTED)]):
+                for (start, windows, name, part), words in _held(text, _zipped(places), span):
+                    rows.append((part, name, doc_id, start, windows, words))
+            yield pd.DataFrame(rows, columns=_PASSAGE)
 
-    return docs.mapInPandas(each, _PIECE_SCHEMA if with_words else _PLACE_SCHEMA)
+    return _listed(marked, _FIRST).mapInPandas(each, f"{_PLACE_SCHEMA}, words binary")
 
 
-def _windows(pieces: DataFrame, span: int) -> DataFrame:
-    """Each window of the pieces as a piece of its own whose part is the hash of its words."""
+def _windows(marked: DataFrame, span: int) -> DataFrame:
+    """Each window of the first occurrences of hot parts as a place of its own; ``part`` and
+    ``name`` are two hashes of its words."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            columns = [batch[c] for c in ("doc_id", "copy", "start", "words")]
-            for doc_id, copy, start, words in zip(*columns):
-                words = words.split(b" ")
-                for i in range(len(words) - span + 1):
-                    part = b" ".join(words[i : i + span])
-                    name = _name(part)
-                    rows.append((name, name, doc_id, copy, start + i, 1, part))
-            yield pd.DataFrame(rows, columns=_PIECE)
-
-    return pieces.mapInPandas(each, _PIECE_SCHEMA)
-
-
-def _distinct(pieces: DataFrame) -> DataFrame:
-    """One row for each distinct passage, with its first occurrence."""
-    first = F.min(F.struct("doc_id", "start", "words")).alias("first")
-    return pieces.groupBy("part", "name").agg(first).select(
-        "part",
-        "name",
-        F.col("first.doc_id").alias("first_doc"),
-        F.col("first.start").alias("first_start"),
-        "first.words",
-    )
+            for doc_id, text, *places in zip(*[batch[c] for c in ("doc_id", "text", *_LISTED)]):
+                for (start, windows, _, _), words in _held(text, _zipped(places), span):
+                    words = words.split(b" ")
+                    for i in range(windows):
+                        part = b" ".join(words[i : i + span])
+                        other = xxhash.xxh3_64_intdigest(part, seed=1) - (1 << 63)
+                        rows.append((other, _name(part), doc_id, start + i, 1))
+            yield pd.DataFrame(rows, columns=_PLACE)
+
+    return _listed(marked, _HOT).mapInPandas(each, _PLACE_SCHEMA)
 
 
 def _earlier(passages: DataFrame, span: int, shard_words: int) -> DataFrame:
-    """For each distinct passage, as bits of ``mask``, which of its windows occur earlier than in
-    the first occurrence of the passage.
+    """For each first occurrence of a passage that has some, as bits of ``mask``, which of its
+    windows occur earlier.
 
-    Rows arrive by shard, sorted by anchor and first occurrence. A task gathers whole anchors to
+    Rows arrive by shard, sorted by anchor and place. A task gathers whole anchors to
     ``shard_words`` words, builds their automaton and streams them through it. The words that
-    belong to one anchor are bounded before, see ``repeated_words``. The windows of one piece have
-    their anchor at different places, so a passage that is alone under its anchor repeats nothing.
+    belong to one anchor are bounded before, see ``repeated_words``.
     """
 
     def of_shard(rows: list[tuple]) -> pd.DataFrame:
-        automaton, sequences = SuffixAutomaton(), [r[4].split(b" ") for r in rows]
+        automaton, sequences = SuffixAutomaton(), [r[5].split(b" ") for r in rows]
         for number, sequence in enumerate(sequences):
             automaton.add(sequence, number)
-        masks = []
-        for number, sequence in enumerate(sequences):
+        out = []
+        for (_, name, doc_id, start, windows, _), sequence in zip(rows, sequences):
             mask = 0
-            for end, (owner, _) in automaton.earliest(sequence, span):
-                if owner < number:
+            for end, (owner, owner_end) in automaton.earliest(sequence, span):
+                if (rows[owner][2], rows[owner][3] + owner_end) < (doc_id, start + end):
                     mask |= 1 << (end - span + 1)
-            masks.append(mask)
-        return with_masks(rows, masks)
-
-    def with_masks(rows: list[tuple], masks: list[int]) -> pd.DataFrame:
-        out = pd.DataFrame([r[:4] for r in rows], columns=_PASSAGE[:4])
-        return out.assign(mask=np.array(masks, np.int64))
+            if mask:
+                out.append((doc_id, start, windows, name, mask))
+        return pd.DataFrame(out, columns=["doc_id", "start", "windows", "name", "mask"])
 
-    def by_anchor(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
-        own: list[tuple] = []
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, size = [], 0
         for batch in batches:
             for row in zip(*[batch[c] for c in _PASSAGE]):
-                if own and row[0] != own[0][0]:
-                    yield own
-                    own = []
-                own.append(row)
-        if own:
-            yield own
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, size, alone = [], 0, []
-        for own in by_anchor(batches):
-            if len(own) == 1:
-                alone += own
-            else:
-                rows += own
-                size += sum(row[4].count(b" ") + 1 for row in own)
-            if size >= shard_words:
-                yield of_shard(rows)
-                rows, size = [], 0
-            if len(alone) >= _ALONE:
-                yield with_masks(alone, [0] * len(alone))
-                alone = []
+                if size >= shard_words and row[0] != rows[-1][0]:
+                    yield of_shard(rows)
+                    rows, size = [], 0
+                rows.append(row)
+                size += row[4] + span - 1
         if rows:
             yield of_shard(rows)
-        if alone:
-            yield with_masks(alone, [0] * len(alone))
 
-    schema = "part bigint, name bigint, first_doc bigint, first_start bigint, mask bigint"
-    return passages.mapInPandas(each, schema)
+    by_shard = passages.repartition("part").sortWithinPartitions("part", "doc_id", "start")
+    return by_shard.mapInPandas(each, _REMOVED_SCHEMA)
 
 
 def repeated_words(
@@ -279,8 +342,9 @@ def repeated_words(
     earlier: in a document with a smaller doc_id, or earlier in the same one. Windows are judged
     on the input. The words that stay are joined by one space.
 
-    Pieces whose anchor occurs once are put aside by counting anchors. The words of each
-    distinct piece are shuffled once, whatever the number of its copies, and go by anchor to
+    Hashes and places of all pieces are shuffled once, by anchor. That settles pieces whose anchor
+    occurs once, copies of pieces, and pieces that are the only ones of their anchor but for
+    copies. Words are shuffled for the other first occurrences only, which go by anchor to
     shards. Each shard has a suffix automaton of its passages in order of first occurrence;
     its passages are streamed through it for matching statistics, and the state of the last
     ``span`` words knows where they start first. Sending every shard's automaton to every document
@@ -295,49 +359,57 @@ def repeated_words(
     key = ["doc_id", "copy"]
     docs = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("copy"), "text")
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    anchors = _anchors(docs, span, gram)
-    repeated = anchors.groupBy("anchor").agg(F.sum("times").alias("_n")).where("_n > 1")
-    lists = anchors.select("doc_id", "anchor").join(repeated.select("anchor"), "anchor")
-    lists = lists.groupBy("doc_id").agg(F.collect_set("anchor").alias("repeated"))
+    # Where only first occurrences go on by their anchor, the rest need not carry it.
+    part = F.when(F.col("kind") == _FIRST, F.col("part")).otherwise(0).alias("part")
+    places = _judged(_pieces(docs, span, gram), hot_passages)
+    lists = places.groupBy("doc_id").agg(
+        F.collect_list(F.struct("start", "windows", "name", part, "kind")).alias("places")
+    )
     marked = written(docs.join(lists, "doc_id").dropDuplicates(key), "marked")
 
-    pieces = _pieces(marked, span, gram, with_words=True)
-    passages = written(_distinct(pieces), "passages")
-    places = _pieces(marked, span, gram, with_words=False)
-    hot = passages.groupBy("part").count().where(F.col("count") > hot_passages).select("part")
-    hot = written(hot, "hot")
-    if not hot.isEmpty():
-        cut = written(_windows(pieces.join(hot, "part", "left_semi"), span), "windows")
-        passages = passages.join(hot, "part", "left_anti").union(_distinct(cut))
-        places = places.join(hot, "part", "left_anti").union(cut.drop("words"))
-    by_shard = passages.repartition("part").sortWithinPartitions("part", "first_doc", "first_start")
-    masks = written(_earlier(by_shard, span, shard_words), "masks")
-
-    own = (F.col("doc_id") == F.col("first_doc")) & (F.col("start") == F.col("first_start"))
-    all_windows = F.expr("shiftleft(1L, CAST(windows AS INT)) - 1L")
-    found = places.join(masks, ["part", "name"]).select(
-        *key, "start", F.when(own, F.col("mask")).otherwise(all_windows).alias("mask")
+    whole = F.expr("shiftleft(1L, CAST(windows AS INT)) - 1L").alias("mask")
+    removed = ["start", "windows", "name", "mask"]
+    again = _judged(_windows(marked, span), hot_passages).where(F.col("kind") == _COPY)
+    masks = _earlier(_passages(marked, span), span, shard_words).unionByName(
+        again.select("doc_id", "start", "windows", "name", whole)
+    )
+    masks = written(masks, "masks").groupBy("doc_id").agg(
+        F.collect_list(F.struct(*removed)).alias("masks")
     )
-    removed = found.where("mask <> 0").groupBy(*key).agg(
-        F.collect_set(F.struct("start", "mask")).alias("removed")
+    copies = F.transform(
+        _of_kind(_COPY),
+        lambda p: F.struct(
+            p["start"].alias("start"),
+            p["windows"].alias("windows"),
+            p["name"].alias("name"),
+            (F.call_function("shiftleft", F.lit(1).cast("bigint"), p["windows"].cast("int")) - 1).alias("mask"),
+        ),
     )
+    both = marked.select(*key, "text", copies.alias("copies")).join(masks, "doc_id", "left")
+    both = both.select(*key, "text", F.concat("copies", F.coalesce("masks", F.array())).alias("removed"))
+    both = both.where(F.size("removed") > 0)
+    both = both.select(*key, "text", *[F.col(f"removed.{c}").alias(c) for c in removed])
 
     def drop(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            columns = [batch[c] for c in ("doc_id", "copy", "text", "removed")]
-            for doc_id, copy, text, removed in zip(*columns):
+            for doc_id, copy, text, *places in zip(*[batch[c] for c in (*key, "text", *removed)]):
                 words = words_of(text)
                 change = np.zeros(len(words) + 1, np.int64)
-                for place in removed:
-                    for i in range(place["mask"].bit_length()):
-                        if place["mask"] >> i & 1:
-                            change[place["start"] + i] += 1
-                            change[place["start"] + i + span] -= 1
+                for (start, windows, _, mask), _ in _held(text, _zipped(places), span):
+                    if mask == (1 << windows) - 1:
+                        change[start] += 1
+                        change[start + windows + span - 1] -= 1
+                        continue
+                    for i in range(mask.bit_length()):
+                        if mask >> i & 1:
+                            change[start + i] += 1
+                            change[start + i + span] -= 1
                 stay = np.cumsum(change)[:-1] == 0
-                left = b" ".join(word for word, kept in zip(words, stay) if kept)
-                rows.append((doc_id, copy, int((~stay).sum()), left.decode()))
+                if not stay.all():
+                    left = b" ".join(word for word, kept in zip(words, stay) if kept)
+                    rows.append((doc_id, copy, int((~stay).sum()), left.decode()))
             yield pd.DataFrame(rows, columns=[*key, "n_removed", "kept_text"])
 
     schema = "doc_id bigint, copy bigint, n_removed bigint, kept_text string"
-    return marked.select(*key, "text").join(removed, key).mapInPandas(drop, schema)
+    return both.mapInPandas(drop, schema)
