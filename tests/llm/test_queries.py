@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm import brute
-from tidewatch.llm import licenses, near_duplicates as near_duplicates_module, registered
+from tidewatch.llm import licenses, near_duplicates as near_duplicates_module, registered, substrings
 from tidewatch.llm.bpe import WordEncoder, bpe_decode, bpe_encode
 from tidewatch.llm.decontamination import contained_items
 from tidewatch.llm.licenses import license_notices
@@ -147,6 +148,24 @@ def test_substring_dedup_writes_no_words_of_copies(spark, tmp_path, monkeypatch)
     assert 0 < kept < 0.7 * os.path.getsize(f"{source}/documents.parquet")
 
 
+def test_substring_dedup_spreads_copies_and_frees_shuffles(spark, rows):
+    text = max((text for _, text in rows), key=len)
+    docs = spark.createDataFrame([(i, text) for i in range(300)], "doc_id bigint, text string").coalesce(1)
+    places = substrings._pieces(docs, 20, 8)
+    windows = [r["windows"] for r in places.collect()]
+    assert sum(w > 0 for w in windows) == len(windows) // 300 > 10
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = blocks.getAllFiles().size()
+    found = repeated_words(docs)
+    for _ in range(50):
+        if blocks.getAllFiles().size() <= before:
+            break
+        time.sleep(0.1)
+    assert blocks.getAllFiles().size() <= before
+    n = len(text.split())
+    assert sorted(by_id(found.select("doc_id", "n_removed")).items()) == [(i, (n,)) for i in range(1, 300)]
+
+
 def test_token_files(spark, rows, odd, empty):
     tokenizer, start = Tokenizer.from_file(BYTE), 0
     got = run(spark, "op4_")

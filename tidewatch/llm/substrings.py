@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.llm.words import signed, windows_of, word_hashes, words_of
-from tidewatch.scratch import written
+from tidewatch.scratch import fresh_dir, remove, shuffles_removed, written
 
 SPAN = 20
 _GRAM = 8
@@ -135,13 +135,38 @@ def _spelt(text: str) -> tuple[bytes, np.ndarray]:
     return joined, np.concatenate([[0], spaces + 1, [len(joined) + 1]])
 
 
+def _runs(rows: np.ndarray) -> np.ndarray:
+    """Where each run of equal columns starts."""
+    if not rows.shape[1]:
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0)))
+
+
+def _later(rows: np.ndarray) -> np.ndarray:
+    """Of places sorted by part, name, doc_id and start, those after the first start of their passage."""
+    runs = _runs(rows[:2])
+    first = rows[2:4, runs].repeat(np.diff(np.append(runs, rows.shape[1])), axis=1)
+    return (rows[2:4] != first).any(axis=0)
+
+
+def _known(rows: np.ndarray) -> np.ndarray:
+    """The same places; those after another place of their passage here are copies whatever the rest
+    of the table holds. They get negative ``windows`` and no part, so that the places of a frequent
+    passage don't all go to one task."""
+    order = np.lexsort(rows[3::-1])
+    again = order[_later(rows[:, order])]
+    rows[4, again] *= -1
+    rows[0, again] = 0
+    return rows
+
+
 def _pieces(docs: DataFrame, span: int, gram: int) -> DataFrame:
     """The pieces of all documents, without their words; ``part`` is the anchor and ``name`` a hash
-    of the words."""
+    of the words. Copies that a task has seen are marked, see ``_known``."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            columns = {name: [] for name in _PLACE}
+            parts = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 found, starts, windows = pieces_of(word_hashes(text), span, gram)
                 if not len(found):
@@ -149,24 +174,14 @@ def _pieces(docs: DataFrame, span: int, gram: int) -> DataFrame:
                 joined, at = _spelt(text)
                 ends = at[starts + windows + span - 1] - 1
                 own = [_name(joined[a:b]) for a, b in zip(at[starts].tolist(), ends.tolist())]
-                columns["part"].append(signed(found))
-                columns["name"].append(np.array(own, np.int64))
-                columns["doc_id"].append(np.full(len(own), doc_id))
-                columns["start"].append(starts)
-                columns["windows"].append(windows)
-            if columns["part"]:
-                yield pd.DataFrame({name: np.concatenate(parts) for name, parts in columns.items()})
+                name, doc_id = np.array(own, np.int64), np.full(len(own), doc_id)
+                parts.append(np.stack([signed(found), name, doc_id, starts, windows]))
+            if parts:
+                yield pd.DataFrame(dict(zip(_PLACE, _known(np.hstack(parts)))))
 
     return docs.mapInPandas(each, _PLACE_SCHEMA)
 
 
-def _runs(rows: np.ndarray) -> np.ndarray:
-    """Where each run of equal columns starts."""
-    if not rows.shape[1]:
-        return np.empty(0, np.int64)
-    return np.flatnonzero(np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0)))
-
-
 def _judged(places: DataFrame, hot_passages: int) -> DataFrame:
     """The places whose part occurs again, with what they are as ``kind``: a copy of a passage that
     starts earlier, or the first occurrence of a passage among at most ``hot_passages`` of its part
@@ -205,10 +220,13 @@ def _judged(places: DataFrame, hot_passages: int) -> DataFrame:
             return told(firsts[:, kind != _COPY], kind[kind != _COPY])
 
         for rows in chunks(batches):
-            rows = np.hstack([current, rows])
-            runs = _runs(rows[:2])
-            first = rows[2:4, runs].repeat(np.diff(np.append(runs, rows.shape[1])), axis=1)
-            again = (rows[2:4] != first).any(axis=0)
+            known = rows[4] < 0
+            rows[4] = np.abs(rows[4])
+            yield told(rows[:, known], np.full(known.sum(), _COPY))
+            if known.all():
+                continue
+            rows = np.hstack([current, rows[:, ~known]])
+            runs, again = _runs(rows[:2]), _later(rows)
             yield told(rows[:, again], np.full(again.sum(), _COPY))
             waiting = np.hstack([waiting, rows[:, runs[current.shape[1] :]]])
             current = rows[:, runs[-1:]]
@@ -225,7 +243,8 @@ def _judged(places: DataFrame, hot_passages: int) -> DataFrame:
                 waiting = waiting[:, :0]
         yield settled(waiting)
 
-    by_part = places.repartition("part").sortWithinPartitions("part", "name", "doc_id", "start")
+    spread = F.when(F.col("windows") < 0, F.xxhash64("doc_id", "start")).otherwise(F.col("part"))
+    by_part = places.repartition(spread).sortWithinPartitions("part", "name", "doc_id", "start")
     return by_part.mapInArrow(each, f"{_PLACE_SCHEMA}, kind int")
 
 
@@ -284,7 +303,8 @@ def _windows(marked: DataFrame, span: int) -> DataFrame:
                         part = b" ".join(words[i : i + span])
                         other = xxhash.xxh3_64_intdigest(part, seed=1) - (1 << 63)
                         rows.append((other, _name(part), doc_id, start + i, 1))
-            yield pd.DataFrame(rows, columns=_PLACE)
+            if rows:
+                yield pd.DataFrame(dict(zip(_PLACE, _known(np.array(rows, np.int64).T.copy()))))
 
     return _listed(marked, _HOT).mapInPandas(each, _PLACE_SCHEMA)
 
@@ -365,7 +385,12 @@ def repeated_words(
     lists = places.groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "windows", "name", part, "kind")).alias("places")
     )
-    marked = written(docs.join(lists, "doc_id").dropDuplicates(key), "marked")
+    spark = docs.sparkSession
+    path = fresh_dir(spark, "places")
+    with shuffles_removed(spark):
+        lists = written(lists, "places", path)
+        marked = written(docs.join(lists, "doc_id").dropDuplicates(key), "marked")
+        remove(spark, path)
 
     whole = F.expr("shiftleft(1L, CAST(windows AS INT)) - 1L").alias("mask")
     removed = ["start", "windows", "name", "mask"]
@@ -373,9 +398,9 @@ def repeated_words(
     masks = _earlier(_passages(marked, span), span, shard_words).unionByName(
         again.select("doc_id", "start", "windows", "name", whole)
     )
-    masks = written(masks, "masks").groupBy("doc_id").agg(
-        F.collect_list(F.struct(*removed)).alias("masks")
-    )
+    with shuffles_removed(spark):
+        masks = written(masks, "masks")
+    masks = masks.groupBy("doc_id").agg(F.collect_list(F.struct(*removed)).alias("masks"))
     copies = F.transform(
         _of_kind(_COPY),
         lambda p: F.struct(
