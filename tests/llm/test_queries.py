@@ -166,6 +166,52 @@ def test_substring_dedup_spreads_copies_and_frees_shuffles(spark, rows):
     assert sorted(by_id(found.select("doc_id", "n_removed")).items()) == [(i, (n,)) for i in range(1, 300)]
 
 
+def test_substring_dedup_of_texts_under_one_id(spark):
+    random.seed(57)
+    texts = {" ".join(random.choices("abc", k=random.randint(6, 40))) for _ in range(60)}
+    docs = [(i // 3, text) for i, text in enumerate(sorted(texts))]
+    first = {}
+    for doc_id, text in docs:
+        words = text.split()
+        for i in range(len(words) - 5):
+            window = tuple(words[i : i + 6])
+            first[window] = min(first.get(window, (doc_id, i)), (doc_id, i))
+    want = set()
+    for doc_id, text in docs:
+        words, gone = text.split(), set()
+        for i in range(len(words) - 5):
+            if first[tuple(words[i : i + 6])] < (doc_id, i):
+                gone.update(range(i, i + 6))
+        if gone:
+            want.add((doc_id, len(gone), " ".join(w for i, w in enumerate(words) if i not in gone)))
+    found = repeated_words(spark.createDataFrame(docs, "doc_id bigint, text string"), span=6, gram=3)
+    assert {(r["doc_id"], r["n_removed"], r["kept_text"]) for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("chunk", [1, 4, 1000])
+def test_places_are_judged_alike_in_chunks(spark, chunk):
+    random.seed(chunk)
+    rows = [(random.randint(1, 40) ** 2 // 40, random.randint(0, 4), random.randint(0, 9), random.randint(0, 3), 2) for _ in range(600)]
+    want, names = set(), {}
+    for part, name, *place, _ in rows:
+        names.setdefault(part, {}).setdefault(name, set()).add(tuple(place))
+    for part, passages in names.items():
+        for name, places in passages.items():
+            first = min(places)
+            want |= {(part, name, *place, 0) for place in places if place != first}
+            if len(passages) > 1:
+                want.add((part, name, *first, 1 if len(passages) <= 3 else 2))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 3)
+    try:
+        judged_rows = substrings._judged(spark.createDataFrame(rows, substrings._PLACE_SCHEMA), 3, chunk).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {(*r[:4], r["kind"]) for r in judged_rows} == want
+    assert sum(r["kind"] > 0 for r in judged_rows) == sum(w[4] > 0 for w in want)
+
+
 def test_token_files(spark, rows, odd, empty):
     tokenizer, start = Tokenizer.from_file(BYTE), 0
     got = run(spark, "op4_")

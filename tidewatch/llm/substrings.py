@@ -182,12 +182,12 @@ def _pieces(docs: DataFrame, span: int, gram: int) -> DataFrame:
     return docs.mapInPandas(each, _PLACE_SCHEMA)
 
 
-def _judged(places: DataFrame, hot_passages: int) -> DataFrame:
+def _judged(places: DataFrame, hot_passages: int, chunk: int = _ROWS) -> DataFrame:
     """The places whose part occurs again, with what they are as ``kind``: a copy of a passage that
     starts earlier, or the first occurrence of a passage among at most ``hot_passages`` of its part
     (``_FIRST``) or more (``_HOT``). The only passage of its part is left out where it is first.
 
-    Rows arrive sorted and are judged in bounded chunks, however many of them belong to one part.
+    Rows arrive sorted and are judged in chunks of about ``chunk``, however many of them belong to one part.
     """
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -195,7 +195,7 @@ def _judged(places: DataFrame, hot_passages: int) -> DataFrame:
         for batch in batches:
             held.append(batch)
             size += batch.num_rows
-            if size >= _ROWS:
+            if size >= chunk:
                 yield np.stack([c.to_numpy() for c in pa.Table.from_batches(held).columns])
                 held, size = [], 0
         if size:
@@ -314,19 +314,26 @@ def _earlier(passages: DataFrame, span: int, shard_words: int) -> DataFrame:
     windows occur earlier.
 
     Rows arrive by shard, sorted by anchor and place. A task gathers whole anchors to
-    ``shard_words`` words, builds their automaton and streams them through it. The words that
-    belong to one anchor are bounded before, see ``repeated_words``.
+    ``shard_words`` words, builds their automaton and streams them through it. An occurrence added
+    first names its window. The words that belong to one anchor are bounded before, see
+    ``repeated_words``.
     """
 
     def of_shard(rows: list[tuple]) -> pd.DataFrame:
         automaton, sequences = SuffixAutomaton(), [r[5].split(b" ") for r in rows]
         for number, sequence in enumerate(sequences):
             automaton.add(sequence, number)
+        found, earliest = [], {}
+        for (_, _, doc_id, start, _, _), sequence in zip(rows, sequences):
+            found.append(list(automaton.earliest(sequence, span)))
+            for end, window in found[-1]:
+                place = (doc_id, start + end)
+                earliest[window] = min(earliest.get(window, place), place)
         out = []
-        for (_, name, doc_id, start, windows, _), sequence in zip(rows, sequences):
+        for (_, name, doc_id, start, windows, _), own in zip(rows, found):
             mask = 0
-            for end, (owner, owner_end) in automaton.earliest(sequence, span):
-                if (rows[owner][2], rows[owner][3] + owner_end) < (doc_id, start + end):
+            for end, window in own:
+                if earliest[window] < (doc_id, start + end):
                     mask |= 1 << (end - span + 1)
             if mask:
                 out.append((doc_id, start, windows, name, mask))
