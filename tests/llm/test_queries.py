@@ -168,8 +168,10 @@ def test_substring_dedup_spreads_copies_and_frees_shuffles(spark, rows):
 
 def test_substring_dedup_of_texts_under_one_id(spark):
     random.seed(57)
-    texts = {" ".join(random.choices("abc", k=random.randint(6, 40))) for _ in range(60)}
-    docs = [(i // 3, text) for i, text in enumerate(sorted(texts))]
+    docs = []
+    for doc_id in range(20):
+        words = random.choices("abcdefgh", k=30)
+        docs += [(doc_id, " ".join(words[:k] + random.choices("abcdefgh", k=10))) for k in (12, 15, 30)]
     first = {}
     for doc_id, text in docs:
         words = text.split()
