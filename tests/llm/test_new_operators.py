@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -102,6 +104,48 @@ def test_three_way_sort_counts_all_prefixes(n, least):
     assert {rows[i]: s for i, s in zip(at, size, strict=True)} == Counter(rows)
 
 
+def test_suffixes_of_odd_texts():
+    texts = ["", "\n", " a  b\n\nb a \x00 a", "\u00e9\x1f \x1f\u00e9", "one\n", " \n \n", "a b c", "z"]
+    langs = ["en", "de", "en", "fr", "de", "en", "en", "fr"]
+    expected = []
+    for lang, text in zip(langs, texts, strict=True):
+        for piece in text.split("\n"):
+            found = [w for w in piece.split(" ") if w]
+            expected += [(lang, *(found[i : i + 3] + [""])[:3]) for i in range(len(found) - 1)]
+    words = phrases._Words(langs, [text.encode() for text in texts])
+    names = ["", *(w.decode() for w in words.words.to_pylist())]
+    assert [(words.names[r[0]], *(names[i] for i in r[1:])) for r in zip(*words.suffixes(), strict=True)] == expected
+
+
+def test_cost_of_sorted_suffixes():
+    """CPU time against counting the same phrases of three words in plain Python; some 2.5 to 2.8 times
+    that with keys looked up by pointers, 1.4 to 1.5 with keys that move along."""
+    draw = np.random.default_rng(3)
+    words = np.split(draw.zipf(1.2, 400_000) % 60_000, 800)
+    texts = [" ".join(f"w{i}" + ("." if i % 9 == 0 else "") for i in part) for part in words]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de"] * 400, "text": texts})
+
+    def plain():
+        counts = Counter()
+        for text in texts:
+            found = text.replace(".", " . ").split()
+            counts.update(zip(found, found[1:], found[2:], strict=False))
+
+    def mapped():
+        list(phrases._word_counts(iter([batch])))
+        list(phrases._routed(50, set())(iter([batch])))
+
+    def least_time(work):
+        times = []
+        for _ in range(3):
+            start = time.process_time()
+            work()
+            times.append(time.process_time() - start)
+        return min(times)
+
+    assert least_time(mapped) < 2 * least_time(plain)
+
+
 # Hard negatives
 
 

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -65,40 +66,57 @@ def _sections(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], li
         yield langs, texts
 
 
+def _numbered(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Where the words between spaces and line feeds start, their numbers, from 0 as they first come,
+    and the words by number."""
+    full = (letters != 32) & (letters != 10)
+    edge = np.flatnonzero(np.diff(full, prepend=False, append=False))
+    starts, sizes = edge[::2], edge[1::2] - edge[::2]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters[full])]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    return starts, coded.indices.to_numpy(), coded.dictionary
+
+
 class _Words:
-    """The words of some texts as numbers in order; 0 stands between pieces."""
+    """The words of some texts as numbers from 1, in order, with their languages and pieces."""
 
     def __init__(self, langs: list[str], texts: list[bytes]):
-        ids: dict[bytes, int] = defaultdict()
-        ids.default_factory = ids.__len__
-        blank, _ = ids[b"\n"], ids[b""]
-        numbers, sizes = [], []
-        for text in texts:
-            words = text.replace(b"\n", b" \n ").split(b" ")
-            words.append(b"\n")
-            numbers.append(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)))
-            sizes.append(len(words))
+        letters = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+        starts, numbers, self.words = _numbered(letters)
+        self.flat = numbers + np.int32(1)
+        self.piece = np.cumsum(letters == 10, dtype=np.int32)[starts]
         self.names = list(dict.fromkeys(langs))
         code = {lang: i for i, lang in enumerate(self.names)}
-        lang_of = np.repeat(np.array([code[x] for x in langs], np.int32), sizes)
-        flat = np.concatenate(numbers)
-        full = flat != 1
-        self.flat, self.lang = flat[full], lang_of[full]
-        self.words = list(ids)
-        self.blank = blank
+        ends = np.cumsum([len(text) + 1 for text in texts])
+        sizes = np.diff(np.searchsorted(starts, ends), prepend=0)
+        self.lang = np.repeat(np.array([code[x] for x in langs], np.int32), sizes)
 
     def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Language, word and occurrences."""
-        real = self.flat != self.blank
-        joint = self.lang[real].astype(np.int64) * len(self.words) + self.flat[real]
+        """Language, word (from 0) and occurrences."""
+        joint = self.lang.astype(np.int64) * len(self.words) + (self.flat - 1)
         joint, n = np.unique(joint, return_counts=True)
         return joint // len(self.words), joint % len(self.words), n
 
     def suffixes(self) -> list[np.ndarray]:
         """Columns of (language, word, word, word or 0) for each word with a word after it."""
-        ids = np.append(self.flat, [0, 0]).astype(np.int32)
-        at = np.flatnonzero((ids[:-2] != self.blank) & (ids[1:-1] != self.blank))
-        return [self.lang[at], ids[at], ids[at + 1], ids[at + 2]]
+        goes_on = np.append(self.piece[1:] == self.piece[:-1], [False, False])
+        ids = np.append(self.flat, np.int32(0))
+        at = np.flatnonzero(goes_on)
+        return [self.lang[at], ids[at], ids[at + 1], np.where(goes_on[at + 1], ids[at + 2], np.int32(0))]
+
+
+def _pivots(key: np.ndarray, starts: np.ndarray, sizes: np.ndarray, draw: np.random.Generator) -> np.ndarray:
+    """For each segment the place of a median of drawn rows: three, or more if there are few segments."""
+    n = 3 if len(starts) * 64 > len(key) else 15
+    at = starts[:, None] + (draw.random((len(starts), n), np.float32) * sizes[:, None]).astype(np.int64)
+    np.minimum(at, (starts + sizes - 1)[:, None], out=at)
+    if n > 3:
+        middle = np.argsort(key[at], axis=1)[:, n // 2]
+        return at[np.arange(len(starts)), middle]
+    first, second, third = at.T
+    a, b, c = key[first], key[second], key[third]
+    return np.where((a < b) == (b < c), second, np.where((b < a) == (a < c), first, third))
 
 
 def three_way_sorted(
@@ -107,62 +125,58 @@ def three_way_sorted(
     """Multikey three-way quicksort of rows; for each depth the equal partitions found, as (a row of
     the partition, its weight).
 
-    A partition below ``least[depth]`` is abandoned. Without ``weights`` rows weigh 1, nothing is
-    abandoned, and a partition of one row goes straight to the last depth. Pivots are medians of
-    three drawn rows, so sorted input is no worst case.
+    A partition below ``least[depth]``, at least 1, is abandoned. Without ``weights`` rows weigh 1,
+    nothing is abandoned, and a partition of one row goes straight to the last depth. Pivots are
+    medians of drawn rows, so sorted input is no worst case.
+
+    A step takes all open segments. Pointers move with their keys (and weights), and the lesser
+    parts of all segments are put before their greater parts, so everything is read in a line.
     """
     deepest = len(columns) - 1
-    keys = np.stack(columns)
-    n = keys.shape[1]
+    n = len(columns[0])
     found: list[list[tuple]] = [[] for _ in columns]
-    order = np.arange(n)
     draw = np.random.default_rng(n)
     lowest = np.array(least)
-    starts, ends, depths = np.array([0]), np.array([n]), np.array([0])
-    if not n:
-        starts = starts[:0]
-    while len(starts):
-        sizes = ends - starts
-        offsets = np.cumsum(sizes) - sizes
-        segment = np.repeat(np.arange(len(starts)), sizes)
-        place = np.arange(len(segment)) + np.repeat(starts - offsets, sizes)
-        rows = order[place]
-        key = keys[depths[segment], rows]
-        drawn = offsets[:, None] + (draw.random((len(starts), 3)) * sizes[:, None]).astype(np.int64)
-        against = np.sort(key[drawn], axis=1)[:, 1][segment]
-        side = (key >= against).astype(np.int8) + (key > against)
-        # Each part of a segment in turn, in the order it had.
-        cuts = [starts]
-        for part in range(3):
-            taken = np.flatnonzero(side == part)
-            of = segment[taken]
-            size = np.bincount(of, minlength=len(starts))
-            order[cuts[-1][of] + np.arange(len(taken)) - (np.cumsum(size) - size)[of]] = rows[taken]
-            cuts.append(cuts[-1] + size)
-        if weights is None:
-            parts = [(a, b, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
-        else:
-            total = np.concatenate([[0], np.cumsum(weights[order[place]])])
-            shift = offsets - starts
-            parts = [(a, b, total[b + shift] - total[a + shift]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    rows = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
+    key, load = columns[0], weights
+    sizes, depths = np.array([n])[: min(n, 1)], np.array([0])[: min(n, 1)]
+    while len(sizes):
+        starts = np.cumsum(sizes) - sizes
+        pivots = _pivots(key, starts, sizes, draw)
+        against = np.repeat(key[pivots], sizes)
         still = []
-        for part, (a, b, weight) in enumerate(parts):
-            kept = (b > a) & (weight >= lowest[depths])
+        for part, side in enumerate((np.less, np.equal, np.greater)):
+            taken = side(key, against)
+            size = np.add.reduceat(taken, starts, dtype=np.int64)
+            weight = size if weights is None else np.add.reduceat(load * taken, starts, dtype=np.int64)
+            kept = weight >= lowest[depths]
             depth = depths
             if part == 1:
                 for d in np.unique(depths[kept]):
                     hit = kept & (depths == d)
-                    found[d].append((order[a[hit]], weight[hit]))
+                    if weights is None and d < deepest:
+                        hit &= size > 1
+                    found[d].append((rows[pivots[hit]], weight[hit]))
                 kept &= depths < deepest
                 depth = depths + 1
             if weights is None:
-                single = kept & (b - a == 1)
-                found[deepest].append((order[a[single]], weight[single]))
+                single = kept & (size == 1)
+                at = pivots[single] if part == 1 else np.flatnonzero(taken & np.repeat(single, sizes))
+                found[deepest].append((rows[at], size[single]))
                 kept &= ~single
-            still.append((a[kept], b[kept], depth[kept]))
-        starts, ends, depths = (np.concatenate(x) for x in zip(*still, strict=True))
-        by = np.argsort(starts)
-        starts, ends, depths = starts[by], ends[by], depths[by]
+            at = np.flatnonzero(taken & np.repeat(kept, sizes))
+            size, depth, row = size[kept], depth[kept], rows[at]
+            if part == 1:
+                level = np.repeat(depth, size)
+                moved = np.empty(len(at), key.dtype)
+                for d in np.unique(depth):
+                    of = np.flatnonzero(level == d)
+                    moved[of] = columns[d][row[of]]
+            else:
+                moved = key[at]
+            still.append((size, depth, row, moved, *([] if weights is None else [load[at]])))
+        sizes, depths, rows, key, *loads = (np.concatenate(x) for x in zip(*still, strict=True))
+        load = loads[0] if loads else None
     nothing = np.empty(0, np.int64)
     return [
         tuple(np.concatenate(x) for x in zip(*level, strict=True)) if level else (nothing, nothing)
@@ -177,7 +191,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(words.names, pa.string()).take(pa.array(lang)),
-                pa.array(words.words, pa.binary()).cast(pa.string()).take(pa.array(word)),
+                words.words.take(pa.array(word)).cast(pa.string()),
                 pa.array(n),
             ],
             ["lang", "word", "f"],
@@ -189,32 +203,35 @@ def _narrow(numbers: np.ndarray) -> bytes:
 
 
 def _wide(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64)
+    return np.frombuffer(raw, f"<u{len(raw) // n}")
 
 
 def _route(words: _Words, columns: list[np.ndarray], groups: int, hot: set) -> np.ndarray:
     """The group of each suffix, by language and the two leading words. Suffixes of two hot words
     are dealt out further by the word behind; their groups lie above ``groups``."""
-    word = np.fromiter(map(xxhash.xxh64_intdigest, words.words), np.uint64, len(words.words))
+    texts = [b"", *words.words.to_pylist()]
+    word = np.fromiter(map(xxhash.xxh64_intdigest, texts), np.uint64, len(texts))
     lang = np.fromiter(map(xxhash.xxh64_intdigest, words.names), np.uint64, len(words.names))
     to = mixed(mixed(mixed(lang[columns[0]]) + word[columns[1]]) + word[columns[2]])
     group = (to % np.uint64(groups)).astype(np.int64)
     if hot:
         number = {name: i for i, name in enumerate(words.names)}
-        ids = {name: i for i, name in enumerate(words.words)}
-        is_hot = np.zeros((len(words.names), len(words.words)), bool)
+        ids = {name: i for i, name in enumerate(texts)}
+        is_hot = np.zeros((len(words.names), len(texts)), bool)
         for name, text in hot:
             if name in number and text in ids:
                 is_hot[number[name], ids[text]] = True
-        salted = is_hot[columns[0], columns[1]] & is_hot[columns[0], columns[2]]
-        spread = mixed(to + word[columns[3]] % np.uint64(_SALTS)) % np.uint64(groups)
-        group = np.where(salted, groups + spread.astype(np.int64), group)
+        at = np.flatnonzero(is_hot[columns[0], columns[1]])
+        at = at[is_hot[columns[0][at], columns[2][at]]]
+        spread = mixed(to[at] + word[columns[3][at]] % np.uint64(_SALTS)) % np.uint64(groups)
+        group[at] = groups + spread.astype(np.int64)
     return group
 
 
 def _routed(groups: int, hot: set):
     """Groups of equal suffixes of some megabytes of text, as one row for each group of the route:
-    its words, and columns of numbers of languages, words and occurrences."""
+    its words, each with a line feed, and columns of numbers of languages, words (from 1 within the
+    row; 0 is none) and occurrences."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, texts in _sections(batches):
@@ -225,26 +242,36 @@ def _routed(groups: int, hot: set):
                 continue
             columns = [c[row] for c in columns]
             group = _route(words, columns, groups, hot)
-            by = np.argsort(group, kind="stable")
-            edges = np.flatnonzero(np.diff(group[by], prepend=-1, append=-1))
-            out = []
+            by = np.argsort(group.astype(np.min_scalar_type(2 * groups)), kind="stable")
+            group, size, lang, *columns = (c[by] for c in (group, size, *columns))
+            edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
+            number = np.zeros(len(words.words) + 1, np.int32)
+            used, out = [], []
             for a, b in zip(edges, edges[1:], strict=False):
-                at = by[a:b]
-                used, code = np.unique(np.stack([c[at] for c in columns[1:]]), return_inverse=True)
-                if used[0] != words.blank:
-                    used, code = np.append(words.blank, used), code + 1
-                code = code.reshape(3, -1)
-                lang, lang_code = np.unique(columns[0][at], return_inverse=True)
+                # The last place of a word in the row stands for it.
+                ids = np.concatenate([c[a:b] for c in columns])
+                number[ids] = np.arange(len(ids), dtype=np.int32)
+                own = ids[number[ids] == np.arange(len(ids), dtype=np.int32)]
+                own = own[own > 0]
+                number[own] = np.arange(1, len(own) + 1, dtype=np.int32)
+                number[0] = 0
+                used.append(own)
+                lang_ids, lang_code = np.unique(lang[a:b], return_inverse=True)
                 out.append(
                     {
-                        "group": int(group[at[0]]),
-                        "langs": [words.names[i] for i in lang],
-                        "words": b"\n".join([b"", *(words.words[i] for i in used[1:])]),
-                        "rows": len(at),
-                        "columns": [_narrow(x) for x in (lang_code, *code, size[at])],
+                        "group": int(group[a]),
+                        "langs": [words.names[i] for i in lang_ids],
+                        "rows": b - a,
+                        "columns": [_narrow(x) for x in (lang_code, *number[ids].reshape(3, -1), size[a:b])],
                     }
                 )
-            yield pa.RecordBatch.from_pylist(out, _ROUTED)
+            lines = pc.binary_join_element_wise(words.words, pa.scalar(b"", pa.large_binary()), pa.scalar(b"\n", pa.large_binary()))
+            lines = lines.take(pa.array(np.concatenate(used) - 1))
+            _, offsets, letters = lines.buffers()
+            offsets = np.frombuffer(offsets, np.int64)[np.cumsum([0, *map(len, used)])]
+            lines = pa.Array.from_buffers(pa.large_binary(), len(out), [None, pa.py_buffer(offsets), letters])
+            rest = pa.Table.from_pylist(out, _ROUTED)
+            yield rest.set_column(2, "words", lines.cast(pa.binary())).combine_chunks().to_batches()[0]
 
     return each
 
@@ -266,33 +293,38 @@ def _counted(groups: int, least: int):
 
     def each(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = defaultdict()
-        ids: dict[bytes, int] = defaultdict()
-        names.default_factory, ids.default_factory = names.__len__, ids.__len__
-        parts = []
+        names.default_factory = names.__len__
+        texts, parts = [], []
         for batch in batches:
             for row in batch.to_pylist():
                 lang = np.array([names[x] for x in row["langs"]], np.int32)
-                text = row["words"].split(b"\n")
-                word = np.fromiter(map(ids.__getitem__, text), np.int32, len(text))
                 lang_code, *codes, size = (_wide(x, row["rows"]) for x in row["columns"])
-                parts.append([lang[lang_code], *(word[c] for c in codes), size])
+                texts.append(row["words"])
+                parts.append([lang[lang_code], *codes, size])
+        _, numbers, words = _numbered(np.frombuffer(b"".join(texts), np.uint8))
+        numbers = numbers + np.int32(1)
+        at = 0
+        for text, part in zip(texts, parts, strict=True):
+            end = at + text.count(b"\n")
+            number = np.concatenate([np.zeros(1, np.int32), numbers[at:end]])
+            part[1:4] = [number[c] for c in part[1:4]]
+            at = end
         *columns, weights = (np.concatenate(x) for x in zip(*parts, strict=True))
         early = least if key[0].as_py() < groups else 1
         levels = three_way_sorted(columns, weights, [early, early, early, least])
         lang_names = pa.array(list(names), pa.string())
-        texts = pa.array(list(ids), pa.binary()).cast(pa.string())
         for depth in (2, 3):
             row, size = levels[depth]
             if depth == 3:
                 inside = columns[3][row] != 0
                 row, size = row[inside], size[inside]
-            third = pa.nulls(len(row), pa.string()) if depth == 2 else texts.take(pa.array(columns[3][row]))
+            named = [words.take(pa.array(c[row] - 1)).cast(pa.string()) for c in columns[1 : depth + 1]]
+            if depth == 2:
+                named.append(pa.nulls(len(row), pa.string()))
             yield pa.RecordBatch.from_arrays(
                 [
                     lang_names.take(pa.array(columns[0][row])),
-                    texts.take(pa.array(columns[1][row])),
-                    texts.take(pa.array(columns[2][row])),
-                    third,
+                    *named,
                     pa.array(size.astype(np.int64)),
                 ],
                 ["lang", "w1", "w2", "w3", "a"],
