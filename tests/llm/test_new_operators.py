@@ -87,6 +87,24 @@ def test_no_collocations(spark):
     assert collocations(spark.createDataFrame([(None, None), ("en", "a b")], "lang string, text string")).count() == 0
 
 
+def test_one_task_ranks_few_phrases_of_a_language(spark, monkeypatch):
+    """Of 600 phrases only the best of each slice meet where all of a language are ranked."""
+    monkeypatch.setattr(phrases, "_SLICES", 4)
+    texts = ["\n".join(f"left{i} right{i}" for i in range(600) for _ in range(1 + (i % 7 == 0)))] * 10
+    ranked = []
+    first = phrases._first
+
+    def noted(scored, top, *by):
+        ranked.append((len(by), scored.count()))
+        return first(scored, top, *by)
+
+    monkeypatch.setattr(phrases, "_first", noted)
+    rows = [("en", text) for text in texts]
+    got = {tuple(r) for r in collocations(spark.createDataFrame(rows, "lang string, text string"), top=20).collect()}
+    assert got == plain_collocations(rows, top=20) and len(got) == 20
+    assert ranked == [(2, 600), (1, 80)]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 50, 3000])
 @pytest.mark.parametrize("least", [1, 7])
 def test_three_way_sort_counts_all_prefixes(n, least):

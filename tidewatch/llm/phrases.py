@@ -41,6 +41,8 @@ _GROUP_SUFFIXES = 2_000_000
 # Words with a larger share than one in this of a language's words are hot; there are at most so many.
 _HOT_SHARE = 1000
 _SALTS = 16
+# Each of so many slices of a language's phrases is cut to its best before all are ranked in one task.
+_SLICES = 32
 
 
 def _sections(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[bytes]]]:
@@ -362,6 +364,12 @@ def _score(a, left, right):
     return F.call_function("div", above, (left * right).cast("decimal(38,0)"))
 
 
+def _first(scored: DataFrame, top: int, *by) -> DataFrame:
+    """The ``top`` best phrases of each group, with their ``rank`` in it."""
+    best = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+
+
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: for each language the ``top`` phrases by score.
 
@@ -409,7 +417,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
         at_cut("_r1", "_r2").alias("r"),
         F.least("_s1", "_s2").alias("score"),
     )
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = two.union(three).withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= top)
+    ranked = _first(_first(two.union(three), top, "lang", F.pmod(F.hash("phrase"), F.lit(_SLICES))), top, "lang")
+    ranked = ranked.withColumn("rank", F.col("rank").cast("bigint"))
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
